@@ -16,7 +16,7 @@ from webloom.operators.distribute import row_numbers
 
 def dense_ids(values: DataFrame, value_col: str, id_col: str) -> DataFrame:
     """``values`` holds one column of (possibly repeated) values; returns ``(id_col, value_col)``."""
-    distinct = values.select(value_col).where(F.col(value_col).isNotNull()).distinct()
+    distinct = values.select(value_col).distinct()
     return row_numbers(distinct, order_by=[value_col], out=id_col).select(id_col, value_col)
 
 
