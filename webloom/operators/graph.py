@@ -169,9 +169,9 @@ def page_rank(
     return ranks.select(F.col("from_id").alias("doc_id"), "score")
 
 
-def rank_report(ranks: DataFrame, doc_index: DataFrame) -> DataFrame:
-    """``(rank, url, score)``, score descending, ties by url."""
-    joined = ranks.join(doc_index, "doc_id").select("url", "score")
+def rank_report(ranks: DataFrame, doc_index: DataFrame, digits: int = 9) -> DataFrame:
+    """``(rank, url, score)``, score (rounded to ``digits``) descending, ties by url."""
+    joined = ranks.join(doc_index, "doc_id").select("url", F.round("score", digits).alias("score"))
     return row_numbers(joined, order_by=[F.col("score").desc(), F.col("url")], out="rank").select(
         "rank", "url", "score"
     )

@@ -11,7 +11,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from webloom.operators import graph, index, keys, search
+from webloom.operators import crawl, graph, index, keys, search
+from webloom.operators import pages as P
+from webloom.session import cut_lineage
 from webloom.sources import tables
 
 SCORE_DIGITS = 9
@@ -120,6 +122,78 @@ def q_search_page(spark, sf_dir):
     return search.search_page(q_search(spark, sf_dir), page_no=2)
 
 
+def read_pages(spark, sf_dir):
+    return tables.read_table(spark, sf_dir, "pages")
+
+
+def page_index(spark, sf_dir) -> crawl.PageIndex:
+    return crawl.index_pages(read_pages(spark, sf_dir))
+
+
+def q_page_events(spark, sf_dir):
+    return P.page_events(read_pages(spark, sf_dir))
+
+
+def q_strip_ignored(spark, sf_dir):
+    return P.strip_ignored(read_pages(spark, sf_dir))
+
+
+def q_text_runs(spark, sf_dir):
+    return P.text_runs(read_pages(spark, sf_dir))
+
+
+def q_page_meta(spark, sf_dir):
+    return P.page_meta(read_pages(spark, sf_dir))
+
+
+def q_page_links(spark, sf_dir):
+    return P.page_links(read_pages(spark, sf_dir))
+
+
+def q_resolve_url(spark, sf_dir):
+    return P.page_links(read_pages(spark, sf_dir)).select("page_id", "pos", "href", "to_url")
+
+
+def q_font_weights(spark, sf_dir):
+    return P.font_weights(read_pages(spark, sf_dir))
+
+
+def q_page_tokens(spark, sf_dir):
+    return P.page_tokens(read_pages(spark, sf_dir))
+
+
+def q_seeds(spark, sf_dir):
+    return crawl.seeds_from_urls(read_pages(spark, sf_dir).select("url"))
+
+
+def q_doc_index(spark, sf_dir):
+    return page_index(spark, sf_dir).doc_index
+
+
+def q_encode_edges(spark, sf_dir):
+    return page_index(spark, sf_dir).edges
+
+
+def q_page_inverted_index(spark, sf_dir):
+    return page_index(spark, sf_dir).inverted_index
+
+
+def q_resolved_index(spark, sf_dir):
+    idx = page_index(spark, sf_dir)
+    return index.resolved_index(idx.inverted_index, idx.lexicon, idx.doc_index)
+
+
+def q_hits(spark, sf_dir):
+    pages = read_pages(spark, sf_dir)
+    idx = crawl.index_pages(pages)
+    return P.hits(pages, idx.lexicon)
+
+
+def q_rank_report(spark, sf_dir):
+    idx = page_index(spark, sf_dir)
+    return graph.rank_report(graph.page_rank(idx.edges), idx.doc_index)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tokens": q_tokens,
     "all_tokens": q_all_tokens,
@@ -138,4 +212,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "term_lookup": q_term_lookup,
     "search": q_search,
     "search_page": q_search_page,
+    "page_events": q_page_events,
+    "strip_ignored": q_strip_ignored,
+    "text_runs": q_text_runs,
+    "page_meta": q_page_meta,
+    "page_links": q_page_links,
+    "resolve_url": q_resolve_url,
+    "font_weights": q_font_weights,
+    "page_tokens": q_page_tokens,
+    "seeds": q_seeds,
+    "doc_index": q_doc_index,
+    "encode_edges": q_encode_edges,
+    "page_inverted_index": q_page_inverted_index,
+    "resolved_index": q_resolved_index,
+    "hits": q_hits,
+    "rank_report": q_rank_report,
 }

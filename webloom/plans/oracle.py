@@ -141,4 +141,12 @@ WHERE r.rank BETWEEN 6 AND 10"""
     return sql
 
 
-ORACLE_SQL = build()
+def _all() -> dict[str, str]:
+    from webloom.plans import oracle_pages
+
+    sql = build()
+    sql.update(oracle_pages.build(pagerank_ctes))
+    return sql
+
+
+ORACLE_SQL = _all()
