@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from webloom.operators import crawl, graph, index, keys, search
+from webloom.operators import crawl, graph, history, index, keys, search, spell
 from webloom.operators import pages as P
 from webloom.session import cut_lineage
 from webloom.sources import tables
@@ -194,6 +194,86 @@ def q_rank_report(spark, sf_dir):
     return graph.rank_report(graph.page_rank(idx.edges), idx.doc_index)
 
 
+def doc_dictionary(spark, sf_dir):
+    docs = tables.read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spell.dictionary(docs)
+
+
+def q_spell_dictionary(spark, sf_dir):
+    return doc_dictionary(spark, sf_dir)
+
+
+def q_normalize_query(spark, sf_dir):
+    log = tables.search_log(spark, sf_dir)
+    return search.normalized_queries(log).select(
+        "user_id", "seq", "normalized", F.size("words").cast("int").alias("n_words")
+    )
+
+
+def q_spell_correct(spark, sf_dir):
+    return spell.correct_queries(tables.misspelt_queries(spark, sf_dir), doc_dictionary(spark, sf_dir))
+
+
+def fallback_parts(spark, sf_dir):
+    _, lex, inv = doc_index_parts(spark, sf_dir)
+    ranks = cut_lineage(part_ranks(spark, sf_dir))
+    session = tables.search_session(spark, sf_dir)
+    fb = search.search_with_fallback(session, lex, inv, ranks, doc_dictionary(spark, sf_dir))
+    return session, fb
+
+
+def q_search_with_fallback(spark, sf_dir):
+    return fallback_parts(spark, sf_dir)[1]
+
+
+def q_suggestion_list(spark, sf_dir):
+    session, fb = fallback_parts(spark, sf_dir)
+    return search.suggestion_list(session, fb)
+
+
+def q_suggestions(spark, sf_dir):
+    session, fb = fallback_parts(spark, sf_dir)
+    return search.suggestions(session, cut_lineage(fb))
+
+
+def q_query_word_counts(spark, sf_dir):
+    return history.query_word_counts(tables.search_log(spark, sf_dir))
+
+
+def q_history_counts(spark, sf_dir):
+    return history.history_counts(tables.search_log(spark, sf_dir))
+
+
+def q_history_top20(spark, sf_dir):
+    return history.history_top(tables.search_log(spark, sf_dir))
+
+
+def q_recent_words(spark, sf_dir):
+    return history.recent_words(tables.search_log(spark, sf_dir))
+
+
+SIGNOUT_SEQ = 2
+
+
+def q_history_snapshot(spark, sf_dir):
+    return history.history_snapshot(tables.search_log(spark, sf_dir), SIGNOUT_SEQ)
+
+
+CRAWL_DEPTH = 2
+
+
+def q_crawl_frontier(spark, sf_dir):
+    """Parts reachable from the size-1 parts within two links (the crawl's default depth)."""
+    seeds = tables.read_table(spark, sf_dir, "part").where(F.col("p_size") == 1).select(
+        F.col("p_partkey").alias("id")
+    )
+    return graph.crawl_frontier(seeds, tables.part_chain(spark, sf_dir), depth=CRAWL_DEPTH)
+
+
+def q_page_rank_converged(spark, sf_dir):
+    return rounded(part_ranks(spark, sf_dir, tol=1e-12, max_iterations=200))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tokens": q_tokens,
     "all_tokens": q_all_tokens,
@@ -227,4 +307,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "resolved_index": q_resolved_index,
     "hits": q_hits,
     "rank_report": q_rank_report,
+    "spell_dictionary": q_spell_dictionary,
+    "normalize_query": q_normalize_query,
+    "spell_correct": q_spell_correct,
+    "search_with_fallback": q_search_with_fallback,
+    "suggestion_list": q_suggestion_list,
+    "suggestions": q_suggestions,
+    "query_word_counts": q_query_word_counts,
+    "history_counts": q_history_counts,
+    "history_top20": q_history_top20,
+    "recent_words": q_recent_words,
+    "history_snapshot": q_history_snapshot,
+    "crawl_frontier": q_crawl_frontier,
+    "page_rank_converged": q_page_rank_converged,
 }

@@ -142,10 +142,12 @@ WHERE r.rank BETWEEN 6 AND 10"""
 
 
 def _all() -> dict[str, str]:
-    from webloom.plans import oracle_pages
+    from webloom.plans import catalog, oracle_pages, oracle_search
 
     sql = build()
     sql.update(oracle_pages.build(pagerank_ctes))
+    sql.update(oracle_search.build(DOC_INDEX_CTES, QUERIES, CHAIN, pagerank_ctes,
+                                   catalog.SIGNOUT_SEQ, catalog.CRAWL_DEPTH))
     return sql
 
 

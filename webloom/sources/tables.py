@@ -67,6 +67,17 @@ def misspelt_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q.select("query_id", F.array_join(fixed, " ").alias("keywords"))
 
 
+def search_session(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream of searches: each benchmark query, then its misspelt form.
+
+    ``query_id`` orders the stream (2 * item_id, then 2 * item_id + 1), which is
+    what "earlier successful searches" refers to for suggestions.
+    """
+    orig = benchmark_queries(spark, sf_dir).select((F.col("query_id") * 2).alias("query_id"), "keywords")
+    typo = misspelt_queries(spark, sf_dir).select((F.col("query_id") * 2 + 1).alias("query_id"), "keywords")
+    return orig.unionByName(typo)
+
+
 def search_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Search log ``(user_id, seq, text)``: user turns of the conversations."""
     c = read_table(spark, sf_dir, "conversations")
@@ -81,4 +92,5 @@ __all__ = [
     "benchmark_queries",
     "misspelt_queries",
     "search_log",
+    "search_session",
 ]
