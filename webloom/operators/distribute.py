@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from webloom.session import cut_lineage, shuffle_partitions
+from webloom.session import materialize, shuffle_partitions
 
 # Largest row count broadcast without further thought (checked by counting).
 DEFAULT_BROADCAST_ROWS = 2_000_000
@@ -57,8 +57,8 @@ def row_numbers(
         .withColumn("_m", F.monotonically_increasing_id())
     )
     # Partition ids and row ids are non-deterministic expressions; fix them
-    # once in the shared checkpoint folder before they are used twice.
-    ordered = cut_lineage(ordered)
+    # once (a table in the shared checkpoint folder) before they are used twice.
+    ordered = materialize(ordered)
 
     stats = ordered.groupBy("_p", *groups).agg(
         F.min("_m").alias("_m0"), F.count(F.lit(1)).alias("_c")

@@ -8,10 +8,12 @@ where N is the number of documents with out-links, outdeg counts duplicate
 edges, only documents with out-links get a score, and every score starts at
 ``initial_pr``.
 
-Plan per sweep: the distinct edges are pre-partitioned once by
-``(from_id, salt)`` and kept in the checkpoint folder; each sweep shuffles
-only the per-source contributions (one row per source, a few more for hot
-sources) and the partially aggregated sums by target. A source with more
+Plan per sweep: the distinct edges are written once as a table bucketed by
+``(from_id, salt)`` and the sources as a table bucketed by ``from_id`` (both
+in the checkpoint folder), so neither moves again; each sweep shuffles only
+the per-source contributions (one row per source, a few more for hot
+sources; broadcast instead when the planner measures them small) and the
+partially aggregated sums by target. A source with more
 distinct out-links than one partition's fair share is "hot": its edges are
 salted over all partitions by target, and its contribution row is replicated
 once per salt, so no task carries a hot source's whole edge list.
@@ -25,7 +27,7 @@ from pyspark.sql import types as T
 
 from webloom.operators.distribute import row_numbers
 from webloom.operators.index import posting_blocks
-from webloom.session import cut_lineage, shuffle_partitions
+from webloom.session import bucketed, cut_lineage, shuffle_partitions
 
 DAMPING = 0.85
 
@@ -111,23 +113,17 @@ def page_rank(
     hot = link_deg.where(F.col("_k") > F.lit(fair_share)).select("from_id", F.lit(True).alias("hot"))
     hot = F.broadcast(hot)
 
-    salted = (
-        links.join(hot, "from_id", "left")
-        .select(
-            "from_id",
-            "to_id",
-            F.when(F.col("hot"), F.pmod(F.xxhash64("to_id"), F.lit(n_parts))).otherwise(F.lit(0)).cast("int").alias("salt"),
-        )
-        .repartition(n_parts, "from_id", "salt")
+    salted = links.join(hot, "from_id", "left").select(
+        "from_id",
+        "to_id",
+        F.when(F.col("hot"), F.pmod(F.xxhash64("to_id"), F.lit(n_parts))).otherwise(F.lit(0)).cast("int").alias("salt"),
     )
-    salted = cut_lineage(salted)
+    salted = bucketed(salted, n_parts, "from_id", "salt")
 
-    sources = (
-        sources.join(hot, "from_id", "left")
-        .select("from_id", "outdeg", F.coalesce(F.col("hot"), F.lit(False)).alias("hot"))
-        .repartition(n_parts, "from_id")
+    sources = sources.join(hot, "from_id", "left").select(
+        "from_id", "outdeg", F.coalesce(F.col("hot"), F.lit(False)).alias("hot")
     )
-    sources = cut_lineage(sources)
+    sources = bucketed(sources, n_parts, "from_id")
     n_docs = sources.count()
     lead = (1.0 - damping) / float(n_docs)
     all_salts = F.sequence(F.lit(0), F.lit(n_parts - 1))

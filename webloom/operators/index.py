@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from webloom.functions.text import is_kept_word, token_array
 from webloom.operators.keys import build_lexicon
+from webloom.session import materialize
 
 # Documents per posting block: a block holds at most this many doc ids.
 POSTING_BLOCK = 4096
@@ -58,8 +59,11 @@ def inverted_index(toks: DataFrame, lexicon: DataFrame | None = None) -> tuple[D
     frequent word is a skewed key, which adaptive execution splits
     (``spark.sql.adaptive.skewJoin.enabled``).
     """
-    lex = lexicon if lexicon is not None else build_lexicon(toks)
-    inv = word_doc_pairs(toks).join(lex, "word").select("word_id", "doc_id")
+    # Tokenising is the expensive part: produce the distinct pairs once, as a
+    # table, and derive both the lexicon and the postings from it.
+    pairs = materialize(word_doc_pairs(toks))
+    lex = lexicon if lexicon is not None else build_lexicon(pairs)
+    inv = pairs.join(lex, "word").select("word_id", "doc_id")
     return inv, lex
 
 

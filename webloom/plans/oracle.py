@@ -23,7 +23,7 @@ def _with(*ctes: str) -> str:
 # ---------------------------------------------------------------- building blocks
 
 SPLIT_DOCS = r"""split_docs AS (
-  SELECT doc_id, string_split_regex(lower(text), '[^a-zA-Z0-9\-_]') AS parts FROM documents
+  SELECT doc_id, regexp_extract_all(lower(text), '[a-zA-Z0-9\-_]+') AS parts FROM documents
 )"""
 
 ALL_DOC_TOKS = """all_doc_toks AS (

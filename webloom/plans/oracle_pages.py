@@ -105,7 +105,7 @@ RUNS = "pg_runs AS (SELECT page_id, pos, text FROM pg_ev WHERE kind IN ('text',
 PAGE_TOKS = f"""pg_toks AS (
   SELECT page_id, pos, tpos, word FROM (
     SELECT page_id, pos, (generate_subscripts(parts, 1) - 1)::INTEGER AS tpos, unnest(parts) AS word
-    FROM (SELECT page_id, pos, string_split_regex(lower(text), '[^a-zA-Z0-9\\-_]') AS parts FROM pg_runs))
+    FROM (SELECT page_id, pos, regexp_extract_all(lower(text), '[a-zA-Z0-9\\-_]+') AS parts FROM pg_runs))
   WHERE word NOT IN ({STOP_SQL})
 )"""
 

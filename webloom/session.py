@@ -9,7 +9,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings that matter for every job in the library. They are applied only
@@ -66,7 +68,46 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     executor memory.
     """
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    # Persist first so the eager checkpoint computes the data once (the count
+    # and the checkpoint write would otherwise each evaluate the plan).
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = df.checkpoint(eager=True)
+    df.unpersist(blocking=False)
+    return out
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` as a Parquet table in the shared checkpoint folder and read it back.
+
+    One job, columnar and compressed; later reads prune columns. Used where
+    the physical partitioning does not have to survive (it is re-planned
+    from the files).
+    """
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/webloom-tables/{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def bucketed(df: DataFrame, num_buckets: int, *cols: str) -> DataFrame:
+    """Write ``df`` as a table bucketed by ``cols`` (in the shared checkpoint folder) and read it back.
+
+    A bucketed scan reports its hash partitioning, so later joins and
+    aggregations on ``cols`` with ``num_buckets`` partitions do not move this
+    side. (A checkpointed DataFrame does not keep its partitioning.)
+    """
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    name = f"webloom_{uuid.uuid4().hex}"
+    (
+        df.repartition(num_buckets, *cols)
+        .write.bucketBy(num_buckets, *cols)
+        .mode("overwrite")
+        .option("path", f"{base}/webloom-tables/{name}")
+        .saveAsTable(name)
+    )
+    return spark.table(name)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

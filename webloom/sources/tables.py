@@ -16,7 +16,21 @@ from webloom.operators.distribute import row_numbers
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """S2 (and the other driver tables): one Parquet table with its schema."""
-    return spark.read.schema(schemas.TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.schema(schemas.TABLES[name]).parquet(f"{sf_dir}/{name}.parquet"))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give a scan at least one partition per core.
+
+    A large input arrives in many file splits and is returned unchanged. A
+    scan of fewer splits than the default parallelism (one file of one row
+    group) would run every row-level step (tokenising, HTML parsing) in a
+    single task; it is spread round-robin instead.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores)
 
 
 def part_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,6 +102,7 @@ def search_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 __all__ = [
     "read_table",
+    "spread",
     "part_chain",
     "benchmark_queries",
     "misspelt_queries",
