@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 
 from webloom.operators import crawl, graph, history, index, keys, search, spell
 from webloom.operators import pages as P
-from webloom.session import cut_lineage
-from webloom.sources import tables
+import uuid
+
+from webloom.session import cut_lineage, ensure_checkpoint_dir
+from webloom.sources import index_store, tables
 
 SCORE_DIGITS = 9
 
@@ -274,6 +276,37 @@ def q_page_rank_converged(spark, sf_dir):
     return rounded(part_ranks(spark, sf_dir, tol=1e-12, max_iterations=200))
 
 
+def index_root(spark) -> str:
+    """A fresh index folder inside the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/webloom-index/{uuid.uuid4().hex}"
+
+
+def q_lexicon_scan(spark, sf_dir):
+    """K1 then S4: write the lexicon (insert-if-absent into an empty table) and scan it back."""
+    root = index_root(spark)
+    index_store.append_if_absent(spark, root, "lexicon", q_lexicon(spark, sf_dir), "word_id", "word")
+    return index_store.read_index_table(spark, root, "lexicon")
+
+
+def q_doc_index_scan(spark, sf_dir):
+    """K2 then S3: write the page document index and read it back by id and by URL."""
+    root = index_root(spark)
+    index_store.append_if_absent(spark, root, "doc_index", page_index(spark, sf_dir).doc_index, "doc_id", "url")
+    by_url, by_id = index_store.doc_index_both_ways(spark, root)
+    return by_id.join(by_url.withColumnRenamed("doc_id", "doc_id2"), "url").select("doc_id", "url")
+
+
+def q_insert_if_absent(spark, sf_dir):
+    """K1 twice: the English documents' lexicon first, then the full lexicon (ids or words
+    already present are skipped); the table as it ends up."""
+    root = index_root(spark)
+    docs = tables.read_table(spark, sf_dir, "documents")
+    en = keys.build_lexicon(index.tokens(docs.where(F.col("lang") == "en").select("doc_id", "text")))
+    index_store.append_if_absent(spark, root, "lexicon", en, "word_id", "word")
+    index_store.append_if_absent(spark, root, "lexicon", q_lexicon(spark, sf_dir), "word_id", "word")
+    return index_store.read_index_table(spark, root, "lexicon")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tokens": q_tokens,
     "all_tokens": q_all_tokens,
@@ -320,4 +353,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "history_snapshot": q_history_snapshot,
     "crawl_frontier": q_crawl_frontier,
     "page_rank_converged": q_page_rank_converged,
+    "lexicon_scan": q_lexicon_scan,
+    "doc_index_scan": q_doc_index_scan,
+    "insert_if_absent": q_insert_if_absent,
 }

@@ -138,6 +138,15 @@ SELECT r.query_id, 2 AS page_no, t.total_pages, r.rank, r.doc_id, r.score
 FROM results r JOIN (SELECT query_id, ceil(count(*) / 5.0)::BIGINT AS total_pages FROM results GROUP BY query_id) t
   ON t.query_id = r.query_id
 WHERE r.rank BETWEEN 6 AND 10"""
+    sql["lexicon_scan"] = sql["lexicon"]
+    sql["insert_if_absent"] = _with(SPLIT_DOCS, ALL_DOC_TOKS, DOC_TOKS, LEX) + """,
+en_lex AS (
+  SELECT row_number() OVER (ORDER BY word)::BIGINT AS word_id, word FROM (
+    SELECT DISTINCT t.word FROM doc_toks t JOIN documents d ON d.doc_id = t.doc_id WHERE d.lang = 'en'))
+SELECT word_id, word FROM en_lex
+UNION ALL
+SELECT word_id, word FROM lex
+WHERE word_id NOT IN (SELECT word_id FROM en_lex) AND word NOT IN (SELECT word FROM en_lex)"""
     return sql
 
 
@@ -148,6 +157,7 @@ def _all() -> dict[str, str]:
     sql.update(oracle_pages.build(pagerank_ctes))
     sql.update(oracle_search.build(DOC_INDEX_CTES, QUERIES, CHAIN, pagerank_ctes,
                                    catalog.SIGNOUT_SEQ, catalog.CRAWL_DEPTH))
+    sql["doc_index_scan"] = sql["doc_index"]
     return sql
 
 
