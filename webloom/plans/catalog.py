@@ -307,6 +307,22 @@ def q_insert_if_absent(spark, sf_dir):
     return index_store.read_index_table(spark, root, "lexicon")
 
 
+def q_postings_scan(spark, sf_dir):
+    """K3 then S5: write the postings in word-bucket folders and scan them back."""
+    root = index_root(spark)
+    index_store.write_postings(q_inverted_index(spark, sf_dir), root)
+    return index_store.read_postings(spark, root)
+
+
+def q_page_rank_scan(spark, sf_dir):
+    """K4 twice (a re-run overwrites) then S6."""
+    root = index_root(spark)
+    ranks = cut_lineage(part_ranks(spark, sf_dir))
+    index_store.write_page_rank(ranks, root)
+    index_store.write_page_rank(ranks, root)
+    return rounded(index_store.read_index_table(spark, root, "page_rank"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tokens": q_tokens,
     "all_tokens": q_all_tokens,
@@ -356,4 +372,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lexicon_scan": q_lexicon_scan,
     "doc_index_scan": q_doc_index_scan,
     "insert_if_absent": q_insert_if_absent,
+    "postings_scan": q_postings_scan,
+    "page_rank_scan": q_page_rank_scan,
 }

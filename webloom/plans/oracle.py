@@ -158,6 +158,8 @@ def _all() -> dict[str, str]:
     sql.update(oracle_search.build(DOC_INDEX_CTES, QUERIES, CHAIN, pagerank_ctes,
                                    catalog.SIGNOUT_SEQ, catalog.CRAWL_DEPTH))
     sql["doc_index_scan"] = sql["doc_index"]
+    sql["postings_scan"] = sql["inverted_index"]
+    sql["page_rank_scan"] = sql["page_rank"]
     return sql
 
 
