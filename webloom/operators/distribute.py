@@ -63,15 +63,21 @@ def row_numbers(
     stats = ordered.groupBy("_p", *groups).agg(
         F.min("_m").alias("_m0"), F.count(F.lit(1)).alias("_c")
     )
-    # One stats row per (partition, group): a group has at most n of them.
-    w = (Window.partitionBy(*groups) if groups else Window).orderBy("_p").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    stats = stats.select(
-        "_p", *groups, "_m0", F.coalesce(F.sum("_c").over(w), F.lit(0)).alias("_off")
-    )
-    # Without groups the stats table has at most n rows: broadcast is bounded.
-    stats = F.broadcast(stats) if not groups else broadcast_if_small(stats)
+    if groups:
+        # One stats row per (partition, group): a group has at most n of them,
+        # so this window's groups are bounded by the partition count.
+        w = Window.partitionBy(*groups).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+        stats = stats.select("_p", *groups, "_m0", F.coalesce(F.sum("_c").over(w), F.lit(0)).alias("_off"))
+        stats = broadcast_if_small(stats)
+    else:
+        # Without groups there is one stats row per partition (at most n): the
+        # running offsets are computed from those n counts, as zipWithIndex does.
+        rows = sorted(stats.collect(), key=lambda r: r["_p"])
+        offsets, total = [], 0
+        for r in rows:
+            offsets.append((r["_p"], r["_m0"], total))
+            total += r["_c"]
+        stats = F.broadcast(spark.createDataFrame(offsets, "_p int, _m0 long, _off long"))
     return (
         ordered.join(stats, on=["_p", *groups], how="inner")
         .withColumn(out, (F.col("_m") - F.col("_m0") + F.col("_off") + F.lit(1)).cast("bigint"))
