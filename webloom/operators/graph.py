@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 
 from webloom.operators.distribute import row_numbers
 from webloom.operators.index import posting_blocks
-from webloom.session import bucketed, cut_lineage, shuffle_partitions
+from webloom.session import bucketed, cut_lineage, materialize, shuffle_partitions
 
 DAMPING = 0.85
 
@@ -97,39 +97,93 @@ def page_rank(
     n_parts = shuffle_partitions(spark)
     e = edges.select(F.col("from_id").cast("bigint"), F.col("to_id").cast("bigint"))
 
-    sources = out_degree(e).select("from_id", F.col("outdeg").cast("double").alias("outdeg"))
-    links = e.distinct()
-
-    # Hot sources: more distinct out-links than a partition's fair share.
-    # At most n_parts of them exist, so the hot table is bounded by n_parts rows.
-    link_deg = links.groupBy("from_id").agg(F.count(F.lit(1)).alias("_k"))
-    link_deg = cut_lineage(link_deg)
-    n_links = link_deg.agg(F.sum("_k")).first()[0] or 0
+    # One pass over the input: distinct links with their multiplicity. Out-degree
+    # counts duplicates (sum of multiplicities); in-links use distinct links.
+    multi = materialize(e.groupBy("from_id", "to_id").agg(F.count(F.lit(1)).alias("_m")))
+    links = multi.select("from_id", "to_id")
+    per_src = materialize(
+        multi.groupBy("from_id").agg(F.sum("_m").cast("double").alias("outdeg"), F.count(F.lit(1)).alias("_k"))
+    )
+    totals = per_src.agg(F.sum("_k").alias("links"), F.count(F.lit(1)).alias("docs")).first()
+    n_links, n_docs = totals["links"] or 0, totals["docs"]
     if n_links == 0:
-        empty = spark.createDataFrame([], T.StructType([
+        return spark.createDataFrame([], T.StructType([
             T.StructField("doc_id", T.LongType()), T.StructField("score", T.DoubleType())]))
-        return empty
+    # Hot sources: more distinct out-links than a partition's fair share.
+    # At most n_parts of them exist, so the hot table is bounded by n_parts rows.
     fair_share = max(1, n_links // n_parts)
-    hot = link_deg.where(F.col("_k") > F.lit(fair_share)).select("from_id", F.lit(True).alias("hot"))
-    hot = F.broadcast(hot)
+    hot = per_src.where(F.col("_k") > F.lit(fair_share)).select("from_id", F.lit(True).alias("hot"))
+    sources = per_src.select("from_id", "outdeg")
+    lead = (1.0 - damping) / float(n_docs)
+    sweeps = max_iterations if tol is not None else num_iterations
 
+    if hot.count() == 0:
+        ranks = _sweeps_copartitioned(links, sources, n_parts, sweeps, initial_pr, damping, lead, tol,
+                                      checkpoint_every)
+    else:
+        ranks = _sweeps_salted(links, sources, F.broadcast(hot), n_parts, sweeps, initial_pr, damping, lead, tol,
+                               checkpoint_every)
+    return ranks.select(F.col("from_id").alias("doc_id"), "score")
+
+
+def _converged(new_ranks: DataFrame, old_ranks: DataFrame, tol: float) -> bool:
+    delta = (
+        new_ranks.alias("n").join(old_ranks.alias("o"), "from_id")
+        .agg(F.max(F.abs(F.col("n.score") - F.col("o.score"))))
+        .first()[0]
+    )
+    return delta is None or delta < tol
+
+
+def _sweeps_copartitioned(links, sources, n_parts, sweeps, initial_pr, damping, lead, tol, checkpoint_every):
+    """No hot source: edges, sources and rank snapshots are all bucketed by ``from_id``.
+
+    Every join is then co-partitioned (shuffled-hash joins on bucketed sides),
+    so a sweep has exactly one exchange: the partially aggregated sums by target.
+    """
+    edges = bucketed(links.select("from_id", "to_id"), n_parts, "from_id")
+    srcs = bucketed(sources.select("from_id", "outdeg"), n_parts, "from_id")
+    ranks = srcs.withColumn("score", F.lit(float(initial_pr)))
+    for i in range(sweeps):
+        contrib = ranks.select("from_id", (F.col("score") / F.col("outdeg")).alias("c"))
+        sums = (
+            edges.join(contrib.hint("shuffle_hash"), "from_id")
+            .groupBy("to_id").agg(F.sum("c").alias("t"))
+            .withColumnRenamed("to_id", "from_id")
+        )
+        new_ranks = srcs.join(sums.hint("shuffle_hash"), "from_id", "left").select(
+            "from_id", "outdeg", (F.lit(lead) + F.lit(damping) * F.coalesce(F.col("t"), F.lit(0.0))).alias("score")
+        )
+        if tol is not None:
+            new_ranks = bucketed(new_ranks, n_parts, "from_id")
+            done = _converged(new_ranks, ranks, tol)
+            ranks = new_ranks
+            if done:
+                break
+        else:
+            ranks = new_ranks
+            if (i + 1) % checkpoint_every == 0 and i + 1 < sweeps:
+                # Cut lineage with a bucketed snapshot, which keeps the co-partitioning.
+                ranks = bucketed(ranks, n_parts, "from_id")
+    return ranks
+
+
+def _sweeps_salted(links, sources, hot, n_parts, sweeps, initial_pr, damping, lead, tol, checkpoint_every):
+    """Hot sources present: their edges are salted over all partitions by target and
+    their contribution rows replicated once per salt; edges are bucketed by (from_id, salt)."""
     salted = links.join(hot, "from_id", "left").select(
         "from_id",
         "to_id",
         F.when(F.col("hot"), F.pmod(F.xxhash64("to_id"), F.lit(n_parts))).otherwise(F.lit(0)).cast("int").alias("salt"),
     )
     salted = bucketed(salted, n_parts, "from_id", "salt")
-
-    sources = sources.join(hot, "from_id", "left").select(
+    srcs = sources.join(hot, "from_id", "left").select(
         "from_id", "outdeg", F.coalesce(F.col("hot"), F.lit(False)).alias("hot")
     )
-    sources = bucketed(sources, n_parts, "from_id")
-    n_docs = sources.count()
-    lead = (1.0 - damping) / float(n_docs)
+    srcs = bucketed(srcs, n_parts, "from_id")
     all_salts = F.sequence(F.lit(0), F.lit(n_parts - 1))
 
-    ranks = sources.withColumn("score", F.lit(float(initial_pr)))
-    sweeps = max_iterations if tol is not None else num_iterations
+    ranks = srcs.withColumn("score", F.lit(float(initial_pr)))
     for i in range(sweeps):
         contrib = ranks.select(
             "from_id",
@@ -142,7 +196,7 @@ def page_rank(
             .agg(F.sum("c").alias("t"))
             .withColumnRenamed("to_id", "from_id")
         )
-        new_ranks = sources.join(sums, "from_id", "left").select(
+        new_ranks = srcs.join(sums, "from_id", "left").select(
             "from_id",
             "outdeg",
             "hot",
@@ -150,19 +204,15 @@ def page_rank(
         )
         if tol is not None:
             new_ranks = cut_lineage(new_ranks)
-            delta = (
-                new_ranks.alias("n").join(ranks.alias("o"), "from_id")
-                .agg(F.max(F.abs(F.col("n.score") - F.col("o.score"))))
-                .first()[0]
-            )
+            done = _converged(new_ranks, ranks, tol)
             ranks = new_ranks
-            if delta is None or delta < tol:
+            if done:
                 break
         else:
             ranks = new_ranks
             if (i + 1) % checkpoint_every == 0 and i + 1 < sweeps:
                 ranks = cut_lineage(ranks)
-    return ranks.select(F.col("from_id").alias("doc_id"), "score")
+    return ranks
 
 
 def rank_report(ranks: DataFrame, doc_index: DataFrame, digits: int = 9) -> DataFrame:
