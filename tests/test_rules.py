@@ -135,3 +135,49 @@ def test_sinks_insert_if_absent_and_overwrite(spark):
     wanted = spark.createDataFrame([(2,), (4,)], "word_id long")
     got = index_store.read_postings(spark, root, wanted, buckets=4).groupBy("word_id").count().collect()
     assert sorted((r.word_id, r["count"]) for r in got) == [(2, 6), (4, 12)]
+
+
+def test_page_rank_converged_reaches_fixed_point(spark):
+    edges = [(t, (t * 7) % 41) for t in range(1, 41)] + [(t, (t * 3 + 1) % 41) for t in range(0, 41)]
+    df = spark.createDataFrame(edges, "from_id long, to_id long")
+    got = {r.doc_id: r.score for r in graph.page_rank(df, tol=1e-12, max_iterations=400).collect()}
+    want = _py_pagerank(edges, sweeps=400)
+    assert all(abs(got[k] - want[k]) < 1e-9 for k in want)
+
+
+def _py_suggestions(queries, succeeded, shown=5):
+    import re
+
+    history = []  # (text, first_seen) in order of first success
+    out = {}
+    for qid, kw in sorted(queries):
+        if qid in succeeded:
+            text = succeeded[qid] or kw
+            if text not in [t for t, _ in history]:
+                history.append((text, qid))
+            continue
+        words = kw.split()
+        if len(kw) == 1:
+            pattern = "^" + re.escape(kw)
+        elif not words:
+            continue
+        else:
+            pattern = "^" + " +".join(re.escape(w[0]) + ".*" + re.escape(w[-1]) for w in words)
+        hits = [t for t, _ in history if re.search(pattern, t)]
+        if hits:
+            out[qid] = hits[:shown]
+    return out
+
+
+def test_suggestions_match_python_regex(spark):
+    queries = [(0, "That and onesen"), (1, "red blue"), (2, "Tat and oesen"), (3, "r"), (4, "(x y"),
+               (5, "rd bue"), (6, "   "), (7, "(xy yy"), (8, "Tt"), (9, "The and onsen"), (10, "Tat")]
+    succeeded = {0: None, 1: None, 7: None, 9: "the and onesen"}
+    q = spark.createDataFrame(queries, "query_id long, keywords string")
+    fb = spark.createDataFrame([(k, v, 1, 100 + k, 1.0) for k, v in succeeded.items()],
+                               "query_id long, corrected string, rank long, doc_id long, score double")
+    got = {}
+    for r in search.suggestions(q, fb).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append(r.suggestion)
+    assert got == _py_suggestions(queries, succeeded)
+    assert got[2] == ["That and onesen"] and got[3] == ["red blue"]

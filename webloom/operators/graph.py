@@ -154,17 +154,21 @@ def _sweeps_copartitioned(links, sources, n_parts, sweeps, initial_pr, damping,
         new_ranks = srcs.join(sums.hint("shuffle_hash"), "from_id", "left").select(
             "from_id", "outdeg", (F.lit(lead) + F.lit(damping) * F.coalesce(F.col("t"), F.lit(0.0))).alias("score")
         )
-        if tol is not None:
+        last = i + 1 == sweeps
+        if tol is not None and (i + 2) % checkpoint_every == 0 and not last:
+            # Snapshot sweep k-1 so the check after sweep k compares consecutive sweeps.
+            new_ranks = bucketed(new_ranks, n_parts, "from_id")
+        elif tol is not None and (i + 1) % checkpoint_every == 0:
             new_ranks = bucketed(new_ranks, n_parts, "from_id")
             done = _converged(new_ranks, ranks, tol)
             ranks = new_ranks
             if done:
                 break
-        else:
-            ranks = new_ranks
-            if (i + 1) % checkpoint_every == 0 and i + 1 < sweeps:
-                # Cut lineage with a bucketed snapshot, which keeps the co-partitioning.
-                ranks = bucketed(ranks, n_parts, "from_id")
+            continue
+        elif tol is None and (i + 1) % checkpoint_every == 0 and not last:
+            # Cut lineage with a bucketed snapshot, which keeps the co-partitioning.
+            new_ranks = bucketed(new_ranks, n_parts, "from_id")
+        ranks = new_ranks
     return ranks
 
 
