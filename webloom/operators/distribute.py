@@ -68,7 +68,9 @@ def row_numbers(
         # so this window's groups are bounded by the partition count.
         w = Window.partitionBy(*groups).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
         stats = stats.select("_p", *groups, "_m0", F.coalesce(F.sum("_c").over(w), F.lit(0)).alias("_off"))
-        stats = broadcast_if_small(stats)
+        # The stats are an aggregation output: adaptive execution measures their
+        # size when that stage finishes and broadcasts them only if small
+        # (otherwise a sort-merge join); no separate counting job is needed.
     else:
         # Without groups there is one stats row per partition (at most n): the
         # running offsets are computed from those n counts, as zipWithIndex does.

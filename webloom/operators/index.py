@@ -67,6 +67,21 @@ def inverted_index(toks: DataFrame, lexicon: DataFrame | None = None) -> tuple[D
     return inv, lex
 
 
+def all_word_doc_pairs(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Distinct ``(word, doc_id)`` over every non-empty token (stop words included),
+    written once as a table: the inverted index and the spelling dictionary both
+    derive from it, so the corpus is tokenised once."""
+    toks = all_tokens(df, id_col, text_col)
+    return materialize(toks.select("word", "doc_id").distinct())
+
+
+def inverted_index_from_pairs(all_pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """A2 from ``all_word_doc_pairs``: stop words dropped, dense ids, ``(inverted_index, lexicon)``."""
+    pairs = all_pairs.where(is_kept_word(F.col("word")))
+    lex = build_lexicon(pairs)
+    return pairs.join(lex, "word").select("word_id", "doc_id"), lex
+
+
 def raw_postings(toks: DataFrame, lexicon: DataFrame) -> DataFrame:
     """A3: one row per occurrence ``(word_id, doc_id, pos)`` (no key, duplicates kept)."""
     return toks.join(lexicon, "word").select("word_id", "doc_id", "pos")

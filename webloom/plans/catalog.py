@@ -217,10 +217,12 @@ def q_spell_correct(spark, sf_dir):
 
 
 def fallback_parts(spark, sf_dir):
-    _, lex, inv = doc_index_parts(spark, sf_dir)
+    docs = tables.read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    pairs = index.all_word_doc_pairs(docs)  # tokenised once for index and dictionary
+    inv, lex = index.inverted_index_from_pairs(pairs)
     ranks = cut_lineage(part_ranks(spark, sf_dir))
     session = tables.search_session(spark, sf_dir)
-    fb = search.search_with_fallback(session, lex, inv, ranks, doc_dictionary(spark, sf_dir))
+    fb = search.search_with_fallback(session, lex, inv, ranks, spell.dictionary_from_pairs(pairs))
     return session, fb
 
 

@@ -14,23 +14,36 @@ from webloom.functions.text import whitespace_words
 from webloom.operators.distribute import row_numbers
 
 
+# Unique key of each table: used to spread a scan that arrives in too few splits.
+TABLE_KEYS = {
+    "pages": ["page_id"],
+    "documents": ["doc_id"],
+    "benchmark": ["item_id"],
+    "conversations": ["conv_id", "turn"],
+    "lineitem": ["l_orderkey", "l_linenumber"],
+    "part": ["p_partkey"],
+}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """S2 (and the other driver tables): one Parquet table with its schema."""
-    return spread(spark.read.schema(schemas.TABLES[name]).parquet(f"{sf_dir}/{name}.parquet"))
+    df = spark.read.schema(schemas.TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
+    return spread(df, TABLE_KEYS.get(name, []))
 
 
-def spread(df: DataFrame) -> DataFrame:
+def spread(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """Give a scan at least one partition per core.
 
     A large input arrives in many file splits and is returned unchanged. A
     scan of fewer splits than the default parallelism (one file of one row
     group) would run every row-level step (tokenising, HTML parsing) in a
-    single task; it is spread round-robin instead.
+    single task; it is hash-partitioned on its unique key instead (no sort,
+    unlike a round-robin repartition, and deterministic on retry).
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= cores:
         return df
-    return df.repartition(cores)
+    return df.repartition(cores, *keys) if keys else df.repartition(cores)
 
 
 def part_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
