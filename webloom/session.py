@@ -57,6 +57,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            # A machine-local folder is not reachable from the executors.
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS, object store) for cluster runs")
         configured = tempfile.mkdtemp(prefix="webloom-ckpt-", dir=os.environ.get("WEBLOOM_SCRATCH", None))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
