@@ -10,13 +10,14 @@ lexicon and the inverted index.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from webloom.functions.urls import normalize_base
 from webloom.operators import graph, index, keys, pages as P
-from webloom.session import cut_lineage
+from webloom.session import materialize
 
 
 @dataclass
@@ -25,10 +26,37 @@ class PageIndex:
     links: DataFrame          # (from_url, to_url) one row per anchor of a read page
     edges: DataFrame          # (from_id, to_id)
     read_pages: DataFrame     # (page_id, doc_id) captured pages that were read
-    tokens: DataFrame         # (doc_id, pos, tpos, word)
-    lexicon: DataFrame        # (word_id, word)
-    inverted_index: DataFrame  # (word_id, doc_id)
-    meta: DataFrame           # (doc_id, title, description)
+    pages: DataFrame          # the captured pages table
+
+    # Word-side tables are built on first use: a link-only job (ranks, report)
+    # never pays for tokenising or numbering the lexicon.
+    @cached_property
+    def _read(self) -> DataFrame:
+        return self.pages.join(self.read_pages, "page_id")
+
+    @cached_property
+    def tokens(self) -> DataFrame:   # (doc_id, pos, tpos, word)
+        return P.page_tokens(self._read.select("page_id", "url", "html")).join(self.read_pages, "page_id").select(
+            "doc_id", "pos", "tpos", "word"
+        )
+
+    @cached_property
+    def _inv_lex(self) -> tuple[DataFrame, DataFrame]:
+        return index.inverted_index(self.tokens)
+
+    @property
+    def inverted_index(self) -> DataFrame:  # (word_id, doc_id)
+        return self._inv_lex[0]
+
+    @property
+    def lexicon(self) -> DataFrame:  # (word_id, word)
+        return self._inv_lex[1]
+
+    @cached_property
+    def meta(self) -> DataFrame:  # (doc_id, title, description)
+        return P.page_meta(self._read.select("page_id", "url", "html")).join(self.read_pages, "page_id").select(
+            "doc_id", "title", "description"
+        )
 
 
 def seeds_from_urls(urls: DataFrame, url_col: str = "url") -> DataFrame:
@@ -54,9 +82,9 @@ def index_pages(pages: DataFrame, seeds: DataFrame | None = None, depth: int | N
     """
     canon = P.page_urls(pages)                                   # (page_id, url)
     # Anchors are read three times below (ids, crawl, edges): parse the HTML once
-    # and keep the result in the checkpoint folder. This also gives the
+    # and keep the result as a table in the checkpoint folder. This also gives the
     # optimizer a leaf instead of the long URL-resolution expressions.
-    all_links = cut_lineage(P.page_links(pages).select("page_id", "from_url", "to_url"))
+    all_links = materialize(P.page_links(pages).select("page_id", "from_url", "to_url"))
     urls = canon.select("url").unionByName(all_links.select(F.col("to_url").alias("url")))
     if seeds is not None:
         urls = urls.unionByName(seeds.select("url"))
@@ -72,12 +100,4 @@ def index_pages(pages: DataFrame, seeds: DataFrame | None = None, depth: int | N
 
     read_links = all_links.join(page_docs.select("page_id"), "page_id", "left_semi")
     edges = keys.encode_edges(read_links.select("from_url", "to_url"), doc_index)
-    read = pages.join(page_docs, "page_id")
-    toks = P.page_tokens(read.select("page_id", "url", "html")).join(page_docs, "page_id").select(
-        "doc_id", "pos", "tpos", "word"
-    )
-    inv, lex = index.inverted_index(toks)
-    meta = P.page_meta(read.select("page_id", "url", "html")).join(page_docs, "page_id").select(
-        "doc_id", "title", "description"
-    )
-    return PageIndex(doc_index, read_links.select("from_url", "to_url"), edges, page_docs, toks, lex, inv, meta)
+    return PageIndex(doc_index, read_links.select("from_url", "to_url"), edges, page_docs, pages)

@@ -53,11 +53,11 @@ def crawl_frontier(seeds: DataFrame, edges: DataFrame, depth: int = 1) -> DataFr
 
     Seeds have depth 0; targets of a depth-d node get d + 1; a node is taken
     once (anti-join against everything already visited); nodes deeper than
-    ``depth`` are never expanded. Each level's frontier is checkpointed so the
+    ``depth`` are never expanded. Each level's frontier is written as a table so the
     plan does not grow with the depth.
     """
     frontier = seeds.select(F.col("id")).distinct().withColumn("depth", F.lit(0))
-    frontier = cut_lineage(frontier)
+    frontier = materialize(frontier)
     levels = [frontier]
     visited = frontier.select("id")
     for d in range(1, depth + 1):
@@ -69,7 +69,7 @@ def crawl_frontier(seeds: DataFrame, edges: DataFrame, depth: int = 1) -> DataFr
             .join(visited, "id", "left_anti")
             .withColumn("depth", F.lit(d))
         )
-        frontier = cut_lineage(nxt)
+        frontier = materialize(nxt)
         levels.append(frontier)
         visited = visited.unionByName(frontier.select("id"))
     out = levels[0]

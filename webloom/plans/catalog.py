@@ -15,7 +15,7 @@ from webloom.operators import crawl, graph, history, index, keys, search, spell
 from webloom.operators import pages as P
 import uuid
 
-from webloom.session import cut_lineage, ensure_checkpoint_dir
+from webloom.session import ensure_checkpoint_dir, materialize
 from webloom.sources import index_store, tables
 
 SCORE_DIGITS = 9
@@ -220,7 +220,7 @@ def fallback_parts(spark, sf_dir):
     docs = tables.read_table(spark, sf_dir, "documents").select("doc_id", "text")
     pairs = index.all_word_doc_pairs(docs)  # tokenised once for index and dictionary
     inv, lex = index.inverted_index_from_pairs(pairs)
-    ranks = cut_lineage(part_ranks(spark, sf_dir))
+    ranks = materialize(part_ranks(spark, sf_dir))
     session = tables.search_session(spark, sf_dir)
     fb = search.search_with_fallback(session, lex, inv, ranks, spell.dictionary_from_pairs(pairs))
     return session, fb
@@ -237,7 +237,7 @@ def q_suggestion_list(spark, sf_dir):
 
 def q_suggestions(spark, sf_dir):
     session, fb = fallback_parts(spark, sf_dir)
-    return search.suggestions(session, cut_lineage(fb))
+    return search.suggestions(session, materialize(fb))
 
 
 def q_query_word_counts(spark, sf_dir):
@@ -319,7 +319,7 @@ def q_postings_scan(spark, sf_dir):
 def q_page_rank_scan(spark, sf_dir):
     """K4 twice (a re-run overwrites) then S6."""
     root = index_root(spark)
-    ranks = cut_lineage(part_ranks(spark, sf_dir))
+    ranks = materialize(part_ranks(spark, sf_dir))
     index_store.write_page_rank(ranks, root)
     index_store.write_page_rank(ranks, root)
     return rounded(index_store.read_index_table(spark, root, "page_rank"))
