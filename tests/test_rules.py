@@ -181,3 +181,12 @@ def test_suggestions_match_python_regex(spark):
         got.setdefault(r.query_id, []).append(r.suggestion)
     assert got == _py_suggestions(queries, succeeded)
     assert got[2] == ["That and onesen"] and got[3] == ["red blue"]
+
+
+def test_seed_file_scan(spark, tmp_path):
+    from webloom.operators.crawl import read_seed_file
+
+    f = tmp_path / "seeds.txt"
+    f.write_text("http://Localhost:8080/\n\n  HTTP://h.example/a#frag  \nhttp://h.example/a\n")
+    got = sorted((r.url, r.depth) for r in read_seed_file(spark, str(f)).collect())
+    assert got == [("http://Localhost:8080/", 0), ("http://h.example/a", 0)]

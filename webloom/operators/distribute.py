@@ -27,11 +27,11 @@ def _as_col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` when its counted size is within ``max_rows``; otherwise
-    return it unchanged so the planner shuffles both sides."""
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
+    """Count ``df``; broadcast it when within ``max_rows``, otherwise return it
+    unchanged so the planner shuffles both sides. Returns ``(df, broadcast?)``."""
     n = df.count()
-    return F.broadcast(df) if n <= max_rows else df
+    return (F.broadcast(df), True) if n <= max_rows else (df, False)
 
 
 def row_numbers(

@@ -109,10 +109,3 @@ def read_postings(spark: SparkSession, root: str, word_ids: DataFrame | None = N
 def write_page_rank(ranks: DataFrame, root: str) -> None:
     """K4: overwrite the ranks."""
     ranks.select("doc_id", "score").write.mode("overwrite").parquet(table_path(root, "page_rank"))
-
-
-def write_lexicon_and_docs(lexicon: DataFrame, doc_index: DataFrame, root: str) -> None:
-    """K1 + K2 for a fresh build (insert-if-absent against whatever is there)."""
-    spark = lexicon.sparkSession
-    append_if_absent(spark, root, "lexicon", lexicon, "word_id", "word")
-    append_if_absent(spark, root, "doc_index", doc_index, "doc_id", "url")
