@@ -190,3 +190,14 @@ def test_seed_file_scan(spark, tmp_path):
     f.write_text("http://Localhost:8080/\n\n  HTTP://h.example/a#frag  \nhttp://h.example/a\n")
     got = sorted((r.url, r.depth) for r in read_seed_file(spark, str(f)).collect())
     assert got == [("http://Localhost:8080/", 0), ("http://h.example/a", 0)]
+
+
+def test_recent_words_chunked_equals_single_chunk(spark):
+    texts = ["a b c", "a d e f g h i j k", "l a", "b b b c", "m n o p q r s t", "a c e g i k m o q"]
+    log = spark.createDataFrame([(1, i, t) for i, t in enumerate(texts)] + [(2, 0, "x y x")],
+                                "user_id long, seq long, text string")
+    one = sorted((r.user_id, r.rank, r.word) for r in history.recent_words(log).collect())
+    many = sorted((r.user_id, r.rank, r.word) for r in history.recent_words(log, chunk_rows=3).collect())
+    assert one == many
+    q = history.fold_queue([], " ".join(texts).split())
+    assert [w for u, _, w in one if u == 1] == list(reversed(q))

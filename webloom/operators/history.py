@@ -6,24 +6,22 @@ each user's 10 most recent distinct words with the reference's queue rule
 (a word is appended only if it is not in the queue; the oldest drops out at
 10; no move to the end on repeat); H5 is H2 + H4 cut at a sign-out turn.
 
-H4 is an order-dependent fold, so it is evaluated as a sorted scan: the log
-is hash-partitioned by user and sorted by (user, seq, pos) inside each
-partition, and ``mapInPandas`` walks the rows in Arrow batches keeping at
-most 10 words of state. No user's history is ever materialised as one
-group or one array, however long it is.
+H4 is an order-dependent fold, so it is evaluated chunk by chunk: each
+user's words are numbered in order (distributed), cut into bounded chunks,
+and folded one chunk per task with the queue (at most 10 words) carried
+between iterations. No user's history is ever one group, one task's work or
+one array, however long it is.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from webloom.functions.text import normalize_query, split_query_words
 from webloom.operators.distribute import row_numbers
-from webloom.session import shuffle_partitions
+from webloom.session import materialize
 
 TOP_WORDS = 20  # fixed value: history table size
 RECENT_WORDS = 10  # fixed value: recent-words queue length
@@ -68,47 +66,70 @@ def history_top(log: DataFrame, k: int = TOP_WORDS) -> DataFrame:
     return ranked.where(F.col("rank") <= k).select("user_id", "rank", "word", "n")
 
 
-def _recent_fold(k: int):
-    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        user = None
-        queue: list[str] = []
-        out_u: list[int] = []
-        out_r: list[int] = []
-        out_w: list[str] = []
-
-        def flush():
-            for r, w in enumerate(reversed(queue), start=1):
-                out_u.append(user)
-                out_r.append(r)
-                out_w.append(w)
-
-        for pdf in batches:
-            for u, w in zip(pdf["user_id"].tolist(), pdf["word"].tolist()):
-                if u != user:
-                    if user is not None:
-                        flush()
-                    user, queue = u, []
-                if w not in queue:
-                    if len(queue) == k:
-                        queue.pop(0)
-                    queue.append(w)
-            if out_u:
-                yield pd.DataFrame({"user_id": out_u, "rank": out_r, "word": out_w})
-                out_u, out_r, out_w = [], [], []
-        if user is not None:
-            flush()
-        if out_u:
-            yield pd.DataFrame({"user_id": out_u, "rank": out_r, "word": out_w})
+RECENT_CHUNK_ROWS = 1_000_000  # rows of one user's history folded by one task
+
+
+def fold_queue(queue: list[str], words, k: int = RECENT_WORDS) -> list[str]:
+    """The reference's queue rule: append a word only if absent; drop the oldest at ``k``."""
+    for w in words:
+        if w not in queue:
+            if len(queue) == k:
+                queue.pop(0)
+            queue.append(w)
+    return queue
+
+
+def _fold_chunk(k: int):
+    def fold(rows: pd.DataFrame, state: pd.DataFrame) -> pd.DataFrame:
+        if len(rows):
+            user = int(rows["user_id"].iloc[0])
+        else:
+            user = int(state["user_id"].iloc[0])
+        queue = list(state["queue"].iloc[0]) if len(state) else []
+        words = rows.sort_values("rn")["word"].tolist() if len(rows) else []
+        return pd.DataFrame({"user_id": [user], "queue": [fold_queue(queue, words, k)]})
 
     return fold
 
 
-def recent_words(log: DataFrame, k: int = RECENT_WORDS) -> DataFrame:
-    """H4: ``(user_id, rank, word)``, rank 1 = newest of the user's last ``k`` queued words."""
+def recent_words(log: DataFrame, k: int = RECENT_WORDS, chunk_rows: int = RECENT_CHUNK_ROWS) -> DataFrame:
+    """H4: ``(user_id, rank, word)``, rank 1 = newest of the user's last ``k`` queued words.
+
+    The queue is an order-dependent fold, so it is evaluated chunk by chunk:
+    each user's words are numbered in (seq, pos) order with ``row_numbers`` (a
+    user with a third of the log spans many range partitions) and cut into
+    chunks of ``chunk_rows``. Iteration ``c`` folds chunk ``c`` of every user
+    that has one, starting from the queue carried out of chunk ``c - 1`` (at
+    most ``k`` words per user, joined by a cogroup). No task ever folds more
+    than one chunk of one user; a long history just takes more iterations, and
+    users leave the carried state once their last chunk is done.
+    """
+    spark = log.sparkSession
     words = log_words(log.where(F.col("user_id").isNotNull())).select("user_id", "seq", "pos", "word")
-    n = shuffle_partitions(log.sparkSession)
-    scan = words.repartition(n, "user_id").sortWithinPartitions("user_id", "seq", "pos")
-    return scan.mapInPandas(_recent_fold(k), schema="user_id long, rank int, word string")
+    numbered = row_numbers(words, order_by=["seq", "pos"], partition_by=["user_id"], out="rn")
+    numbered = materialize(
+        numbered.withColumn("chunk", F.floor((F.col("rn") - 1) / F.lit(chunk_rows)).cast("long"))
+        .select("user_id", "chunk", "rn", "word")
+    )
+    last = materialize(numbered.groupBy("user_id").agg(F.max("chunk").alias("last_chunk")))
+    top = last.agg(F.max("last_chunk")).first()[0]
+    schema = "user_id long, queue array<string>"
+    carried = spark.createDataFrame([], schema)
+    finished = []
+    for c in range(0 if top is None else int(top) + 1):
+        rows = numbered.where(F.col("chunk") == c).select("user_id", "rn", "word")
+        state = rows.groupBy("user_id").cogroup(carried.groupBy("user_id")).applyInPandas(_fold_chunk(k), schema)
+        state = materialize(state.join(last, "user_id"))
+        finished.append(state.where(F.col("last_chunk") == c).select("user_id", "queue"))
+        carried = state.where(F.col("last_chunk") > c).select("user_id", "queue")
+    if not finished:
+        return spark.createDataFrame([], "user_id long, rank int, word string")
+    queues = finished[0]
+    for f in finished[1:]:
+        queues = queues.unionByName(f)
+    return queues.select("user_id", F.posexplode(F.reverse("queue")).alias("r", "word")).select(
+        "user_id", (F.col("r") + 1).cast("int").alias("rank"), "word"
+    )
 
 
 def history_snapshot(log: DataFrame, signout_seq: int) -> DataFrame:
