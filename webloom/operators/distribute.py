@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from webloom.session import materialize, shuffle_partitions
+from webloom.session import materialize, target_partitions
 
 # Largest row count broadcast without further thought (checked by counting).
 DEFAULT_BROADCAST_ROWS = 2_000_000
@@ -46,7 +46,7 @@ def row_numbers(
     tie-break) so the numbering is deterministic.
     """
     spark = df.sparkSession
-    n = shuffle_partitions(spark)
+    n = target_partitions(df)
     groups = list(partition_by)
     keys = [F.col(g) for g in groups] + [_as_col(c) for c in order_by]
 

@@ -118,3 +118,17 @@ def bucketed(df: DataFrame, num_buckets: int, *cols: str) -> DataFrame:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+def target_partitions(df: DataFrame, bytes_per_partition: int = 128 << 20) -> int:
+    """Partition count for an explicit repartition of ``df``: about 128 MB each by the
+    optimizer's size estimate, at least the default parallelism, at most the shuffle
+    partition count (no job is run to estimate)."""
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    upper = max(shuffle_partitions(spark), cores)
+    try:
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # estimate unavailable: use the configured count
+        return upper
+    return max(cores, min(upper, -(-size // bytes_per_partition)))
