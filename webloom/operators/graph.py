@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 
 from webloom.operators.distribute import row_numbers
 from webloom.operators.index import posting_blocks
-from webloom.session import bucketed, cut_lineage, materialize, shuffle_partitions
+from webloom.session import bucketed, cut_lineage, materialize, target_partitions
 
 DAMPING = 0.85
 
@@ -94,12 +94,25 @@ def page_rank(
     below ``tol`` or ``max_iterations`` is reached (converged mode).
     """
     spark = edges.sparkSession
-    n_parts = shuffle_partitions(spark)
     e = edges.select(F.col("from_id").cast("bigint"), F.col("to_id").cast("bigint"))
 
     # One pass over the input: distinct links with their multiplicity. Out-degree
     # counts duplicates (sum of multiplicities); in-links use distinct links.
     multi = materialize(e.groupBy("from_id", "to_id").agg(F.count(F.lit(1)).alias("_m")))
+    # Buckets of the edge and rank tables and the sums shuffle must share one
+    # partition count to stay co-partitioned: size it from the link table
+    # (file-based estimate) and use it for the shuffles of the sweeps only.
+    n_parts = target_partitions(multi)
+    previous = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(n_parts))
+    try:
+        return _page_rank(spark, multi, n_parts, num_iterations, initial_pr, damping, tol, max_iterations,
+                          checkpoint_every)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", previous)
+
+
+def _page_rank(spark, multi, n_parts, num_iterations, initial_pr, damping, tol, max_iterations, checkpoint_every):
     links = multi.select("from_id", "to_id")
     per_src = materialize(
         multi.groupBy("from_id").agg(F.sum("_m").cast("double").alias("outdeg"), F.count(F.lit(1)).alias("_k"))
@@ -123,7 +136,8 @@ def page_rank(
     else:
         ranks = _sweeps_salted(links, sources, F.broadcast(hot), n_parts, sweeps, initial_pr, damping, lead, tol,
                                checkpoint_every)
-    return ranks.select(F.col("from_id").alias("doc_id"), "score")
+    # Run the sweeps here, under this partition count, and hand back a table.
+    return materialize(ranks.select(F.col("from_id").alias("doc_id"), "score"))
 
 
 def _converged(new_ranks: DataFrame, old_ranks: DataFrame, tol: float) -> bool:
