@@ -220,7 +220,7 @@ def fallback_parts(spark, sf_dir):
     docs = tables.read_table(spark, sf_dir, "documents").select("doc_id", "text")
     pairs = index.all_word_doc_pairs(docs)  # tokenised once for index and dictionary
     inv, lex = index.inverted_index_from_pairs(pairs)
-    ranks = materialize(part_ranks(spark, sf_dir))
+    ranks = part_ranks(spark, sf_dir)  # already a written table
     session = tables.search_session(spark, sf_dir)
     fb = search.search_with_fallback(session, lex, inv, ranks, spell.dictionary_from_pairs(pairs))
     return session, fb
@@ -319,7 +319,7 @@ def q_postings_scan(spark, sf_dir):
 def q_page_rank_scan(spark, sf_dir):
     """K4 twice (a re-run overwrites) then S6."""
     root = index_root(spark)
-    ranks = materialize(part_ranks(spark, sf_dir))
+    ranks = part_ranks(spark, sf_dir)  # already a written table
     index_store.write_page_rank(ranks, root)
     index_store.write_page_rank(ranks, root)
     return rounded(index_store.read_index_table(spark, root, "page_rank"))
