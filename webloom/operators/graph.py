@@ -103,13 +103,21 @@ def page_rank(
     # partition count to stay co-partitioned: size it from the link table
     # (file-based estimate) and use it for the shuffles of the sweeps only.
     n_parts = target_partitions(multi)
-    previous = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", str(n_parts))
+    # The sweep plans are fixed (hinted co-partitioned joins, fixed partition
+    # count), so adaptive re-planning after every stage only adds latency.
+    scoped = {"spark.sql.shuffle.partitions": str(n_parts), "spark.sql.adaptive.enabled": "false"}
+    previous = {k: spark.conf.get(k, None) for k in scoped}
+    for k, v in scoped.items():
+        spark.conf.set(k, v)
     try:
         return _page_rank(spark, multi, n_parts, num_iterations, initial_pr, damping, tol, max_iterations,
                           checkpoint_every)
     finally:
-        spark.conf.set("spark.sql.shuffle.partitions", previous)
+        for k, v in previous.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
 
 
 def _page_rank(spark, multi, n_parts, num_iterations, initial_pr, damping, tol, max_iterations, checkpoint_every):
