@@ -6,6 +6,7 @@ full; nothing is sampled, capped or filtered by id.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,8 +14,6 @@ from pyspark.sql import functions as F
 
 from webloom.operators import crawl, graph, history, index, keys, search, spell
 from webloom.operators import pages as P
-import uuid
-
 from webloom.session import ensure_checkpoint_dir, materialize
 from webloom.sources import index_store, tables
 
