@@ -56,7 +56,10 @@ def test_row_numbers_hot_group_spans_partitions(spark):
     df = spark.range(0, 5000).select(
         F.when(F.col("id") < 4000, F.lit(1)).otherwise(F.col("id") % 7).alias("g"), (F.col("id") * 37 % 5000).alias("v")
     )
-    got = {(r.g, r.v): r.rn for r in row_numbers(df, order_by=["v"], partition_by=["g"]).collect()}
+    ranked = row_numbers(df, order_by=["v"], partition_by=["g"], max_group_rows=0)  # force range partitions
+    got = {(r.g, r.v): r.rn for r in ranked.collect()}
+    windowed = {(r.g, r.v): r.rn for r in row_numbers(df, order_by=["v"], partition_by=["g"]).collect()}
+    assert windowed == got
     rows = sorted((r.g, r.v) for r in df.collect())
     want, last, k = {}, None, 0
     for g, v in rows:

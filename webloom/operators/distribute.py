@@ -1,11 +1,12 @@
 """Distribution helpers shared by the operators.
 
 ``row_numbers`` gives 1-based positions in a total order, optionally within
-groups, without a window that pulls a whole group (or the whole table) into
-one task: rows are range-partitioned and sorted on the ordering keys, each
-partition numbers its own rows, and per-partition offsets (one row per
+groups, without a window that pulls an unbounded group (or the whole table)
+into one task: rows are range-partitioned and sorted on the ordering keys,
+each partition numbers its own rows, and per-partition offsets (one row per
 partition and group) are added back. A hot group simply spans several range
-partitions.
+partitions. When the largest group is counted and found small, a plain
+window per group is used instead (cheaper, and bounded by the check).
 
 ``broadcast_if_small`` broadcasts a side only after counting it.
 """
@@ -21,6 +22,9 @@ from webloom.session import materialize, target_partitions
 
 # Largest row count broadcast without further thought (checked by counting).
 DEFAULT_BROADCAST_ROWS = 2_000_000
+# Largest group numbered by a plain window (checked by counting); bigger groups
+# are numbered through range partitions.
+MAX_WINDOW_GROUP_ROWS = 1_000_000
 
 
 def _as_col(c: str | Column) -> Column:
@@ -39,15 +43,25 @@ def row_numbers(
     order_by: Sequence[str | Column],
     partition_by: Sequence[str] = (),
     out: str = "rn",
+    max_group_rows: int = MAX_WINDOW_GROUP_ROWS,
 ) -> DataFrame:
     """Add ``out`` = 1-based row number within ``partition_by`` groups.
 
     ``order_by`` must make the order total inside a group (add a unique
-    tie-break) so the numbering is deterministic.
+    tie-break) so the numbering is deterministic. With groups, the largest
+    group is counted first: when every group is within ``max_group_rows`` a
+    plain window per group is used (a bounded sort per group); otherwise, and
+    always without groups, rows are numbered through range partitions.
     """
     spark = df.sparkSession
-    n = target_partitions(df)
     groups = list(partition_by)
+    if groups:
+        df = materialize(df)  # read twice below (size check, numbering)
+        biggest = df.groupBy(*groups).count().agg(F.max("count")).first()[0] or 0
+        if biggest <= max_group_rows:
+            w = Window.partitionBy(*groups).orderBy(*[_as_col(c) for c in order_by])
+            return df.withColumn(out, F.row_number().over(w).cast("bigint"))
+    n = target_partitions(df)
     keys = [F.col(g) for g in groups] + [_as_col(c) for c in order_by]
 
     ordered = (
