@@ -107,6 +107,7 @@ def page_rank(
     # count), so adaptive re-planning after every stage only adds latency.
     scoped = {"spark.sql.shuffle.partitions": str(n_parts), "spark.sql.adaptive.enabled": "false"}
     previous = {k: spark.conf.get(k, None) for k in scoped}
+    tables_before = {t.name for t in spark.catalog.listTables()}
     for k, v in scoped.items():
         spark.conf.set(k, v)
     try:
@@ -118,6 +119,11 @@ def page_rank(
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+        # The result is a table of its own; unregister the bucketed work tables
+        # (external tables: only the catalog entries go).
+        for t in spark.catalog.listTables():
+            if t.name.startswith("webloom_") and t.name not in tables_before and t.tableType != "TEMPORARY":
+                spark.sql(f"DROP TABLE IF EXISTS `{t.name}`")
 
 
 def _page_rank(spark, multi, n_parts, num_iterations, initial_pr, damping, tol, max_iterations, checkpoint_every):
