@@ -14,6 +14,9 @@ NAMES = [
     "tokens", "lexicon", "inverted_index", "inverted_index_sets", "page_rank", "search", "search_page",
     "page_meta", "page_links", "font_weights", "resolved_index", "spell_correct", "history_top20",
     "recent_words", "crawl_frontier", "insert_if_absent", "suggestion_list",
+    "page_events", "resolve_url", "seeds", "text_runs", "normalize_query", "query_word_counts",
+    "history_counts", "doc_word_count", "stopword_filter", "link_counts", "out_degree", "in_links",
+    "encode_edges", "hits", "term_lookup", "history_snapshot",
 ]
 
 
