@@ -2,19 +2,30 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from webloom.llm import exact_dedup, mixing, sharding
+from webloom.llm import exact_dedup, fingerprints, licences, mixing, packing, sharding, token_files, toxicity
 from webloom.llm.common import count_words, documents
+from webloom.llm.token_pieces import tokenizer_path
+from webloom.session import ensure_checkpoint_dir
+
+#: The end id of the word tokenizer's files, and of the byte tokenizer's windows.
+FILE_TOKENIZER, FILE_END = "word_bpe_49k.json", 1
+PACK_TOKENIZER, PACK_END = "byte_bpe_50k.json", 0
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(documents(spark, sf_dir))
 
 
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.neighbour_fingerprints(documents(spark, sf_dir))
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(documents(spark, sf_dir).select("doc_id", "source", "text"))
     return mixed.select(
@@ -23,18 +34,65 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("taken", F.col("size") * F.col("repeats"))
 
 
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/token-files/{uuid.uuid4().hex}"
+    token_files.write_token_files(documents(spark, sf_dir), path, tokenizer_path(FILE_TOKENIZER), FILE_END)
+    return token_files.read_token_files(spark, path).select(
+        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir), tokenizer_path(PACK_TOKENIZER), PACK_END)
+
+
+def op8_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(documents(spark, sf_dir))
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(documents(spark, sf_dir))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.rate(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_fingerprints": op2_fingerprints,
     "op3_mixing": op3_mixing,
+    "op6_token_files": op6_token_files,
+    "op7_packing": op7_packing,
+    "op8_licences": op8_licences,
     "op9_sharding": op9_sharding,
+    "op10_toxicity": op10_toxicity,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+
+def _quoted(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def _licence_sql() -> str:
+    line = f"regexp_replace(lower(x), {_quoted(licences.COPYRIGHT_LINE)}, '')"
+    for old, new in licences.SPELLINGS:
+        line = f"replace({line}, {_quoted(old)}, {_quoted(new)})"
+    line = f"trim(regexp_replace({line}, {_quoted(licences.NOT_WORDS)}, ' ', 'g'))"
+    lines = f"list_filter(list_transform(string_split(coalesce(text, ''), chr(10)), x -> {line}), x -> x <> '')"
+    known = ", ".join(f"({_quoted(i)}, {_quoted(t)})" for i, t in licences.LICENCES)
+    return f"""
+        WITH given(license_id, text) AS (VALUES {known}),
+        known AS (SELECT array_to_string({lines}, ' ') AS body, min(license_id) AS license_id FROM given GROUP BY 1),
+        t AS (SELECT doc_id, {lines} AS lines FROM documents),
+        hits AS (SELECT doc_id, string_agg(DISTINCT license_id, ',' ORDER BY license_id) AS notices
+                 FROM (SELECT doc_id, unnest(lines) AS body FROM t) JOIN known USING (body) GROUP BY doc_id)
+        SELECT t.doc_id, sha256(array_to_string(lines, ' ')) AS text_digest, known.license_id,
+               coalesce(hits.notices, '') AS notices
+        FROM t LEFT JOIN known ON array_to_string(lines, ' ') = known.body LEFT JOIN hits ON hits.doc_id = t.doc_id"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op1_exact_dedup": f"""
         WITH t AS (SELECT doc_id, {_LOWER} AS body FROM documents)
@@ -42,4 +100,5 @@ ORACLE_SQL: dict[str, str] = {
                count(*) OVER (PARTITION BY body) AS group_size,
                doc_id = max(doc_id) OVER (PARTITION BY body) AS kept, sha256(body) AS text_sha256
         FROM t""",
+    "op8_licences": _licence_sql(),
 }
