@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from webloom.llm import exact_dedup, fingerprints, licences, mixing, packing, sharding, token_files, toxicity
+from webloom.llm import exact_dedup, fingerprints, licences, mixing, ngram_join, packing, sharding, token_files, toxicity
 from webloom.llm.common import count_words, documents
 from webloom.llm.token_pieces import tokenizer_path
 from webloom.session import ensure_checkpoint_dir
@@ -34,6 +34,10 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("taken", F.col("size") * F.col("repeats"))
 
 
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_components(documents(spark, sf_dir), words=3, percent=90)
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/token-files/{uuid.uuid4().hex}"
     token_files.write_token_files(documents(spark, sf_dir), path, tokenizer_path(FILE_TOKENIZER), FILE_END)
@@ -61,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_fingerprints": op2_fingerprints,
     "op3_mixing": op3_mixing,
+    "op4_ngram_join": op4_ngram_join,
     "op6_token_files": op6_token_files,
     "op7_packing": op7_packing,
     "op8_licences": op8_licences,
@@ -80,7 +85,7 @@ def _licence_sql() -> str:
     for old, new in licences.SPELLINGS:
         line = f"replace({line}, {_quoted(old)}, {_quoted(new)})"
     line = f"trim(regexp_replace({line}, {_quoted(licences.NOT_WORDS)}, ' ', 'g'))"
-    lines = f"list_filter(list_transform(string_split(coalesce(text, ''), chr(10)), x -> {line}), x -> x <> '')"
+    lines = f"list_filter(list_transform(string_split(coalesce(text, ''), chr(10)), lambda x: {line}), lambda x: x <> '')"
     known = ", ".join(f"({_quoted(i)}, {_quoted(t)})" for i, t in licences.LICENCES)
     return f"""
         WITH given(license_id, text) AS (VALUES {known}),
