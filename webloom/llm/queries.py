@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from webloom.llm import exact_dedup, fingerprints, licences, mixing, ngram_join, packing, sharding, token_files, toxicity
+from webloom.llm import exact_dedup, fingerprints, licences, line_dedup, mixing, ngram_join, packing, sharding, token_files, toxicity
 from webloom.llm.common import count_words, documents
 from webloom.llm.token_pieces import tokenizer_path
 from webloom.session import ensure_checkpoint_dir
@@ -38,6 +38,10 @@ def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_components(documents(spark, sf_dir), words=3, percent=90)
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_groups(documents(spark, sf_dir))
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/token-files/{uuid.uuid4().hex}"
     token_files.write_token_files(documents(spark, sf_dir), path, tokenizer_path(FILE_TOKENIZER), FILE_END)
@@ -66,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_fingerprints": op2_fingerprints,
     "op3_mixing": op3_mixing,
     "op4_ngram_join": op4_ngram_join,
+    "op5_line_dedup": op5_line_dedup,
     "op6_token_files": op6_token_files,
     "op7_packing": op7_packing,
     "op8_licences": op8_licences,
