@@ -50,7 +50,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         )
         more = F.col("group_size").isNotNull() & (F.octet_length("digit") == width)
         split = materialize(
-            rows.join(groups, ["grp", "digit"], "left").select(
+            # One plan at every size: a merge join, whose hot keys adaptive execution splits.
+            rows.join(groups.hint("merge"), ["grp", "digit"], "left").select(
                 "doc_id", "text_sha256",
                 F.when(F.col("group_size").isNull(), F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
                 F.coalesce("group_size", F.lit(1)).alias("group_size"),
