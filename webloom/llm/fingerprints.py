@@ -232,7 +232,7 @@ def neighbour_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: st
 
     n = len(heads)
     dealt = rows.withColumn("k", F.explode(blocks("id"))).select(
-        "id", "text", (F.col("k") % max(n, 1)).alias("block"), (F.col("k") >= n).alias("tail"), (-F.col("id") - 1).alias("neg"))
+        "id", "text", (F.col("k") % max(n, 1)).alias("block"), (F.col("k") >= n).alias("tail"), F.bitwise_not(F.col("id")).alias("neg"))
     return dealt.groupBy("block").applyInPandas(walk, RESULT)
 
 
