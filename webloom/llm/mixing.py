@@ -126,11 +126,14 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     empty table stays empty. Reruns with one seed agree.
     """
     plan = mix_plan(docs, id_col, text_col, source_col, weights, max_epochs, seed).select(
-        F.col("source").alias("_mix_source"), "whole", "cut", F.col("target").alias(f"{out}_target"),
-        F.col("source_size").alias(f"{out}_source_size"),
+        F.col("source").alias("_mix_source"), F.col("whole").alias("_mix_whole"), F.col("cut").alias("_mix_cut"),
+        F.col("target").alias("_mix_target"), F.col("source_size").alias("_mix_size"),
         F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_mix_salt"))
     mark = docs.withColumn("_mix_h", doc_hash(id_col, seed))
     joined = mark.join(plan, F.col(source_col).eqNullSafe(F.col("_mix_source"))
                        & ((F.col("_mix_h") % SALTS).cast("int") == F.col("_mix_salt")))
-    repeats = (F.col("whole") + (F.col("_mix_h") <= F.col("cut")).cast("long")).alias(out)
-    return joined.select(*[joined[f"`{c}`"] for c in docs.columns], repeats, f"{out}_target", f"{out}_source_size")
+    new = {
+        out: F.col("_mix_whole") + (F.col("_mix_h") <= F.col("_mix_cut")).cast("long"),
+        f"{out}_target": F.col("_mix_target"), f"{out}_source_size": F.col("_mix_size"),
+    }
+    return joined.select(*[f"`{c}`" for c in docs.columns if c not in new], *[v.alias(k) for k, v in new.items()])
