@@ -81,7 +81,8 @@ def cut_points(at: _Boundaries, capacity: int, shards: int) -> list[int]:
         most = base + capacity
         wish = min(max(base + (at.total - base) // k, least), most)
         before, after = at.last_up_to([wish], [max(base, least)])[0], at.first_from(wish)
-        base = after if after <= most and after - wish < wish - before else before
+        # The nearer one, but no shard stays empty while groups are left.
+        base = after if after <= most and (after - wish < wish - before or before == base) else before
         cuts.append(base)
     return cuts
 
