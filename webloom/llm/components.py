@@ -1,8 +1,9 @@
 """Connected components of a table of links, as DataFrame jobs.
 
-Each round takes the smallest label among a node's neighbours and then the label of its label, so a path of
-n links is done in about log(n) rounds. Labels are written to the checkpoint folder after each round; joins on
-a hub or on a label that many nodes share are ordinary equi-joins, which adaptive execution splits when skewed.
+Each round hooks every node to its smallest neighbour, follows that one's hook as well, and contracts the links
+to those nodes; links within a contracted node vanish and equal ones merge, so rounds shrink quickly and a path
+of n links is done in about log(n) of them. Hooks come from a map-side combined aggregation; joins on a hub are
+ordinary equi-joins, which adaptive execution splits when skewed. Each round is written to the checkpoint folder.
 """
 
 from __future__ import annotations
@@ -17,21 +18,25 @@ def connected_components(links: DataFrame) -> DataFrame:
     """``(node, label)`` for every node of ``links`` (its first two columns): the smallest node it is linked with,
     directly or not. Links that repeat or join a node to itself do no harm."""
     a, b = links.columns[:2]
-    both = materialize(
-        links.select(F.col(a).alias("src"), F.col(b).alias("dst"))
-        .unionByName(links.select(F.col(b).alias("src"), F.col(a).alias("dst"))).distinct()
-    )
-    labels = materialize(both.groupBy("src").agg(F.min("dst").alias("dst")).select(
-        F.col("src").alias("node"), F.least("src", "dst").alias("label")))
+    left = materialize(links.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct())
+    labels = None
     while True:
-        offers = both.join(labels, both.dst == labels.node).select(
-            F.col("src").alias("node"), "label", F.lit(None).cast("long").alias("old"))
-        nearer = offers.unionByName(labels.withColumn("old", F.col("label"))).groupBy("node").agg(
-            F.min("label").alias("label"), F.max("old").alias("old"))
-        nearer = materialize(nearer)
-        jump = nearer.select(F.col("node").alias("via"), F.col("label").alias("further"))
-        moved = materialize(nearer.join(jump, F.col("label") == F.col("via")).select(
-            "node", F.col("further").alias("label"), "old"))
-        labels = moved.select("node", "label")
-        if moved.where("label <> old").isEmpty():
+        down = left.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("label"))
+        # A node that is never the larger end is the smallest of its neighbourhood.
+        hooks = left.select(F.col("a").alias("node"), F.col("a").alias("label")).unionByName(down).groupBy("node").agg(
+            F.min("label").alias("label"))
+        hooks = materialize(hooks)
+        further = hooks.select(F.col("node").alias("_via"), F.col("label").alias("_further"))
+        hooks = materialize(hooks.join(further, F.col("label") == F.col("_via")).select("node", F.col("_further").alias("label")))
+        if labels is None:
+            labels = hooks
+        else:
+            moved = hooks.select(F.col("node").alias("_old"), F.col("label").alias("_new"))
+            labels = materialize(labels.join(moved, F.col("label") == F.col("_old"), "left").select(
+                "node", F.coalesce("_new", "label").alias("label")))
+        ends = [hooks.select(F.col("node").alias(f"_{x}"), F.col("label").alias(f"_to_{x}")) for x in "ab"]
+        left = materialize(
+            left.join(ends[0], F.col("a") == F.col("_a")).join(ends[1], F.col("b") == F.col("_b"))
+            .where("_to_a <> _to_b").select(F.least("_to_a", "_to_b").alias("a"), F.greatest("_to_a", "_to_b").alias("b")).distinct())
+        if left.isEmpty():
             return labels

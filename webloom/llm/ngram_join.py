@@ -208,11 +208,12 @@ def _within_partitions(sets: DataFrame, percent: int, partition_bytes: int) -> D
     return materialize(laid.mapInPandas(join, "node long, family long, part int, label long"))
 
 
-def _across(rows: DataFrame, percent: int) -> DataFrame:
-    """Links between labels of one family in different partitions: ``(a, b)``.
+def _across(rows: DataFrame, percent: int, partition_bytes: int) -> DataFrame:
+    """Links between labels of one family that lie in different partitions: ``(a, b)``.
 
-    ``rows``: ``family, part, low, high, node, label, tokens``; each goes to the pairs of its partition with the
-    family's others, and a pair's documents are compared in one task.
+    ``rows``: ``family, part, low, high, least, node, label, tokens``. A family's partitions are dealt into as
+    many consecutive chunks as its sets fill partitions; each chunk is compared with itself and the others, two
+    chunks in a task.
     """
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -223,13 +224,21 @@ def _across(rows: DataFrame, percent: int) -> DataFrame:
         moved = new != pdf["label"].to_numpy()
         return pd.DataFrame({"a": pdf["label"].to_numpy()[moved], "b": new[moved]}).drop_duplicates()
 
-    paired = rows.withColumn("other", F.explode(F.sequence("low", "high"))).where("other <> part").select(
-        "family", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"), "part", "least", "node", "label", "tokens")
+    size = rows.groupBy("family").agg(F.ceil(F.sum(F.octet_length("tokens")) / partition_bytes).alias("chunks"))
+    chunk = F.floor((F.col("part") - F.col("low")) * F.col("chunks") / (F.col("high") - F.col("low") + 1))
+    paired = rows.join(size, "family").withColumn("chunk", chunk).withColumn(
+        "other", F.explode(F.when(F.col("chunks") == 1, F.array(F.lit(0).cast("long"))).otherwise(
+            F.filter(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1), lambda x: x != F.col("chunk")))))
+    paired = paired.select("family", F.least("chunk", "other").alias("p"), F.greatest("chunk", "other").alias("q"),
+                           "part", "least", "node", "label", "tokens")
     return materialize(paired.groupBy("family", "p", "q").applyInPandas(compare, "a long, b long"))
 
 
-def _relabel(rows: DataFrame, links: DataFrame) -> DataFrame:
-    new = connected_components(links).select(F.col("node").alias("old"), F.col("label").alias("new"))
+def _renamed(links: DataFrame) -> DataFrame:
+    return connected_components(links).select(F.col("node").alias("old"), F.col("label").alias("new"))
+
+
+def _relabel(rows: DataFrame, new: DataFrame) -> DataFrame:
     return rows.join(new, rows.label == new.old, "left").withColumn("label", F.coalesce("new", "label")).drop("old", "new")
 
 
@@ -242,12 +251,13 @@ def _verified(sets: DataFrame, percent: int, partition_bytes: int) -> DataFrame:
     labels = placed.select("node", "label").distinct()  # a row that repeats has its set twice
     if cut.isEmpty():
         return labels
-    links = _across(cut.where("node = label"), percent)  # one document for each component so far
+    links = _across(cut.where("node = label"), percent, partition_bytes)  # one document for each component so far
     if not links.isEmpty():
-        cut, labels = materialize(_relabel(cut, links)), materialize(_relabel(labels, links))
+        new = _renamed(links)
+        cut, labels = materialize(_relabel(cut, new)), materialize(_relabel(labels, new))
     apart = cut.groupBy("family").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("family")
-    links = _across(cut.join(apart, "family", "left_semi"), percent)
-    return labels if links.isEmpty() else _relabel(labels, links)
+    links = _across(cut.join(apart, "family", "left_semi"), percent, partition_bytes)
+    return labels if links.isEmpty() else _relabel(labels, _renamed(links))
 
 
 def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,

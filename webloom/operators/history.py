@@ -6,22 +6,20 @@ each user's 10 most recent distinct words with the reference's queue rule
 (a word is appended only if it is not in the queue; the oldest drops out at
 10; no move to the end on repeat); H5 is H2 + H4 cut at a sign-out turn.
 
-H4 is an order-dependent fold, so it is evaluated chunk by chunk: each
-user's words are numbered in order (distributed), cut into bounded chunks,
-and folded one chunk per task with the queue (at most 10 words) carried
-between iterations. No user's history is ever one group, one task's work or
-one array, however long it is.
+H4 is an order-dependent fold, evaluated chunk by chunk with one JVM ``aggregate``: each user's words are
+numbered in order (distributed), cut into bounded chunks written in a folder per chunk, and folded one chunk
+after the other with the queue (at most 10 words) carried between iterations. No user's history is ever one
+group, one task's work or one array, however long it is.
 """
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from webloom.functions.text import normalize_query, split_query_words
 from webloom.operators.distribute import row_numbers
-from webloom.session import materialize
+from webloom.session import materialize, write_table
 
 TOP_WORDS = 20  # fixed value: history table size
 RECENT_WORDS = 10  # fixed value: recent-words queue length
@@ -66,79 +64,72 @@ def history_top(log: DataFrame, k: int = TOP_WORDS) -> DataFrame:
     return ranked.where(F.col("rank") <= k).select("user_id", "rank", "word", "n")
 
 
-RECENT_CHUNK_ROWS = 1_000_000  # rows of one user's history folded by one task
+RECENT_CHUNK_ROWS = 100_000  # words of one user's history folded at a time
+QUEUE_SCHEMA = "user_id long, queue array<string>"
 
 
-def fold_queue(queue: list[str], words, k: int = RECENT_WORDS) -> list[str]:
-    """The reference's queue rule: append a word only if absent; drop the oldest at ``k``."""
-    for w in words:
-        if w not in queue:
-            if len(queue) == k:
-                queue.pop(0)
-            queue.append(w)
-    return queue
+def queue_after(queue: Column, words: Column, k: int = RECENT_WORDS) -> Column:
+    """The queue (oldest first) after searching ``words`` in order: unknown words enter at the end, and all but
+    the last ``k`` leave; known words stay where they are."""
+    enter = lambda q, w: F.when(F.array_contains(q, w), q).otherwise(
+        F.slice(F.array_append(q, w), F.greatest(F.size(q) + 2 - k, F.lit(1)), k))
+    return F.aggregate(words, queue, enter)
 
 
-def _fold_chunk(k: int):
-    def fold(rows: pd.DataFrame, state: pd.DataFrame) -> pd.DataFrame:
-        if len(rows):
-            user = int(rows["user_id"].iloc[0])
-        else:
-            user = int(state["user_id"].iloc[0])
-        queue = list(state["queue"].iloc[0]) if len(state) else []
-        words = rows.sort_values("rn")["word"].tolist() if len(rows) else []
-        return pd.DataFrame({"user_id": [user], "queue": [fold_queue(queue, words, k)]})
+def advance_queues(words: DataFrame, before: DataFrame, k: int = RECENT_WORDS,
+                   chunk_rows: int = RECENT_CHUNK_ROWS) -> DataFrame:
+    """Queues ``(user_id, queue)`` after the words ``(user_id, seq, pos, word)``, starting from ``before``.
 
-    return fold
-
-
-def recent_words(log: DataFrame, k: int = RECENT_WORDS, chunk_rows: int = RECENT_CHUNK_ROWS) -> DataFrame:
-    """H4: ``(user_id, rank, word)``, rank 1 = newest of the user's last ``k`` queued words.
-
-    The queue is an order-dependent fold, so it is evaluated chunk by chunk:
-    each user's words are numbered in (seq, pos) order with ``row_numbers`` (a
-    user with a third of the log spans many range partitions) and cut into
-    chunks of ``chunk_rows``. Iteration ``c`` folds chunk ``c`` of every user
-    that has one, starting from the queue carried out of chunk ``c - 1`` (at
-    most ``k`` words per user, joined by a cogroup). No task ever folds more
-    than one chunk of one user; a long history just takes more iterations, and
-    users leave the carried state once their last chunk is done.
+    Words are numbered per user in (seq, pos) order with ``row_numbers`` (a user with a third of the log spans
+    many range partitions) and written in a folder per chunk of ``chunk_rows`` words. Iteration ``c`` reads chunk
+    ``c`` alone and starts from the queues carried out of chunk ``c - 1``; users without a word keep theirs.
     """
-    spark = log.sparkSession
-    words = log_words(log.where(F.col("user_id").isNotNull())).select("user_id", "seq", "pos", "word")
+    spark = words.sparkSession
     numbered = row_numbers(words, order_by=["seq", "pos"], partition_by=["user_id"], out="rn")
-    numbered = materialize(
-        numbered.withColumn("chunk", F.floor((F.col("rn") - 1) / F.lit(chunk_rows)).cast("long"))
-        .select("user_id", "chunk", "rn", "word")
-    )
-    last = materialize(numbered.groupBy("user_id").agg(F.max("chunk").alias("last_chunk")))
-    top = last.agg(F.max("last_chunk")).first()[0]
-    schema = "user_id long, queue array<string>"
-    carried = spark.createDataFrame([], schema)
-    finished = []
+    numbered = numbered.withColumn("chunk", F.floor((F.col("rn") - 1) / F.lit(chunk_rows)).cast("long"))
+    path = write_table(numbered.select("user_id", "rn", "word", "chunk"), "chunk")
+    chunks = spark.read.schema("user_id long, rn long, word string, chunk long").parquet(path)
+    top = chunks.agg(F.max("chunk")).first()[0]
+    queues = before
     for c in range(0 if top is None else int(top) + 1):
-        rows = numbered.where(F.col("chunk") == c).select("user_id", "rn", "word")
-        state = rows.groupBy("user_id").cogroup(carried.groupBy("user_id")).applyInPandas(_fold_chunk(k), schema)
-        state = materialize(state.join(last, "user_id"))
-        finished.append(state.where(F.col("last_chunk") == c).select("user_id", "queue"))
-        carried = state.where(F.col("last_chunk") > c).select("user_id", "queue")
-    if not finished:
-        return spark.createDataFrame([], "user_id long, rank int, word string")
-    queues = finished[0]
-    for f in finished[1:]:
-        queues = queues.unionByName(f)
+        new = chunks.where(F.col("chunk") == c).groupBy("user_id").agg(
+            F.transform(F.array_sort(F.collect_list(F.struct("rn", "word"))), lambda x: x["word"]).alias("words"))
+        old = F.coalesce("queue", F.array().cast("array<string>"))
+        queues = materialize(queues.join(new, "user_id", "full_outer").select(
+            "user_id", F.when(F.col("words").isNull(), F.col("queue")).otherwise(queue_after(old, F.col("words"), k)).alias("queue")))
+    return queues
+
+
+def queue_ranks(queues: DataFrame) -> DataFrame:
+    """``(user_id, rank, word)``, rank 1 = newest."""
     return queues.select("user_id", F.posexplode(F.reverse("queue")).alias("r", "word")).select(
-        "user_id", (F.col("r") + 1).cast("int").alias("rank"), "word"
-    )
+        "user_id", (F.col("r") + 1).cast("int").alias("rank"), "word")
+
+
+def recent_words(log: DataFrame, k: int = RECENT_WORDS, chunk_rows: int = RECENT_CHUNK_ROWS) -> DataFrame:
+    """H4: ``(user_id, rank, word)`` of the user's last ``k`` queued words, rank 1 = newest."""
+    words = log_words(log.where(F.col("user_id").isNotNull())).select("user_id", "seq", "pos", "word")
+    none = log.sparkSession.createDataFrame([], QUEUE_SCHEMA)
+    return queue_ranks(advance_queues(words, none, k, chunk_rows))
 
 
-def history_snapshot(log: DataFrame, signout_seq: int) -> DataFrame:
-    """H5: per user, the word totals and the recent queue as of sign-out after turn ``signout_seq``.
+def history_snapshot(log: DataFrame, signouts: DataFrame) -> DataFrame:
+    """H5: per user, the word totals and the recent queue as of the user's sign-out, after which both start anew.
 
-    Returns ``(user_id, word, n, recent_rank)``; ``recent_rank`` is NULL for
-    words no longer in the recent queue.
+    ``signouts``: ``(user_id, seq)``, a row per sign-out. Returns ``(user_id, signout_seq, word, n,
+    recent_rank)`` for the searches after the sign-out before; ``recent_rank`` is NULL for words no longer in
+    the queue. Searches after a user's last sign-out, and of users who never sign out, are in no snapshot.
     """
-    cut = log.where(F.col("seq") <= signout_seq)
+    mark = signouts.select("user_id", "seq", F.lit(None).cast("string").alias("text"), F.lit(1).alias("out"))
+    rows = log.select("user_id", "seq", "text", F.lit(0).alias("out")).unionByName(mark).where(F.col("user_id").isNotNull())
+    # The session of a search ends with the next sign-out at or after it.
+    ahead = Window.partitionBy("user_id").orderBy("seq", "out").rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    ended = rows.withColumn("signout_seq", F.min(F.when(F.col("out") == 1, F.col("seq"))).over(ahead)).where(
+        (F.col("out") == 0) & F.col("signout_seq").isNotNull())
+    # Sessions are numbered by one column, as users are elsewhere.
+    sessions = materialize(row_numbers(ended.select("user_id", "signout_seq").distinct(), ["user_id", "signout_seq"], out="session"))
+    cut = ended.join(sessions, ["user_id", "signout_seq"]).select(F.col("session").alias("user_id"), "seq", "text")
     counts = history_counts(cut).select("user_id", "word", "n")
     recent = recent_words(cut).select("user_id", "word", F.col("rank").alias("recent_rank"))
-    return counts.join(recent, ["user_id", "word"], "left").select("user_id", "word", "n", "recent_rank")
+    both = counts.join(recent, ["user_id", "word"], "left").withColumnRenamed("user_id", "session")
+    return both.join(sessions, "session").select("user_id", "signout_seq", "word", "n", "recent_rank")

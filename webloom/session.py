@@ -7,7 +7,7 @@ session and only falls back to a scratch folder when it is unset (local tests).
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 
@@ -57,10 +57,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        if not sc.master.startswith("local"):
-            # A machine-local folder is not reachable from the executors.
+        if not re.fullmatch(r"local(\[[^]]*\])?", sc.master):
+            # Only in local mode do driver and executors share this machine's folders.
             raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS, object store) for cluster runs")
-        configured = tempfile.mkdtemp(prefix="webloom-ckpt-", dir=os.environ.get("WEBLOOM_SCRATCH", None))
+        configured = tempfile.mkdtemp(prefix="webloom-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
@@ -82,6 +82,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return out
 
 
+def write_table(df: DataFrame, *partition_by: str) -> str:
+    """Write ``df`` as a Parquet table in the shared checkpoint folder (in folders by ``partition_by``, if given)
+    and return its path."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/webloom-tables/{uuid.uuid4().hex}"
+    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    return path
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared checkpoint folder and read it back.
 
@@ -89,11 +97,7 @@ def materialize(df: DataFrame) -> DataFrame:
     the physical partitioning does not have to survive (it is re-planned
     from the files).
     """
-    spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/webloom-tables/{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return df.sparkSession.read.parquet(write_table(df))
 
 
 def bucketed(df: DataFrame, num_buckets: int, *cols: str) -> DataFrame:

@@ -1,107 +1,58 @@
 """Search-log history kept up to date by Structured Streaming (H2 + H4 as searches arrive).
 
-The reference updates a user's word totals and recent-words queue on every
-search. Here a stream of log rows ``(user_id, seq, text)`` (files appearing
-in a folder, e.g. one per minute of traffic) drives two queries:
-
-* totals: a streaming aggregation ``(user_id, word) -> n`` (Spark keeps the
-  running counts in its state store);
-* recent queue: ``applyInPandasWithState`` per user, whose state is the queue
-  itself (at most ``RECENT_WORDS`` words), so state stays bounded however
-  long a user's history gets.
-
-Each micro-batch's changed rows are appended to an output folder with the
-batch id (``foreachBatch``); ``current_view`` reads the latest row per key.
-Rows of one user are assumed to arrive in ``seq`` order across micro-batches
-(an append-only log); inside a micro-batch they are sorted by (seq, pos).
+A stream of log rows ``(user_id, seq, text)`` (files appearing in a folder, e.g. one per minute of traffic) is
+handled batch by batch (``foreachBatch``): the batch's words are counted and folded, with the same column
+expressions as the batch operators, into the tables that the batch before has left. Each batch writes whole
+tables under its own number, so a batch that is replayed writes the same rows again instead of adding any.
+Rows of one user are assumed to arrive in ``seq`` order across batches (an append-only log).
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from webloom.operators.history import RECENT_WORDS, log_words
+from webloom.operators.history import QUEUE_SCHEMA, RECENT_WORDS, advance_queues, log_words, queue_ranks
 
 LOG_SCHEMA = "user_id long, seq long, text string"
-RECENT_SCHEMA = "user_id long, rank int, word string"
-STATE_SCHEMA = "queue array<string>"
-
-
-def _queue_update(k: int):
-    def update(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        queue = list(state.get[0]) if state.exists else []
-        chunk = pd.concat(list(batches), ignore_index=True).sort_values(["seq", "pos"], kind="stable")
-        for w in chunk["word"].tolist():
-            if w not in queue:
-                if len(queue) == k:
-                    queue.pop(0)
-                queue.append(w)
-        state.update((queue,))
-        n = len(queue)
-        yield pd.DataFrame({
-            "user_id": [key[0]] * n,
-            "rank": list(range(1, n + 1)),
-            "word": list(reversed(queue)),
-        })
-
-    return update
-
-
-def _append_batch(out_dir: str):
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("append").parquet(out_dir)
-
-    return write
-
-
-def start_history_streams(
-    spark: SparkSession,
-    source_dir: str,
-    out_dir: str,
-    checkpoint_dir: str,
-    files_per_trigger: int = 1,
-    available_now: bool = True,
-    k: int = RECENT_WORDS,
-) -> list[StreamingQuery]:
-    """Start the totals and recent-queue streams; returns both query handles."""
-    log = (
-        spark.readStream.schema(LOG_SCHEMA)
-        .option("maxFilesPerTrigger", files_per_trigger)
-        .parquet(source_dir)
-        .where(F.col("user_id").isNotNull())
-    )
-    words = log_words(log)
-
-    totals = words.groupBy("user_id", "word").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
-    recent = words.groupBy("user_id").applyInPandasWithState(
-        _queue_update(k), RECENT_SCHEMA, STATE_SCHEMA, "update", GroupStateTimeout.NoTimeout
-    )
-
-    def start(df: DataFrame, name: str) -> StreamingQuery:
-        w = (
-            df.writeStream.outputMode("update")
-            .foreachBatch(_append_batch(f"{out_dir}/{name}"))
-            .option("checkpointLocation", f"{checkpoint_dir}/{name}")
-        )
-        w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
-        return w.start()
-
-    return [start(totals, "totals"), start(recent, "recent")]
-
-
-def current_view(spark: SparkSession, out_dir: str, name: str) -> DataFrame:
-    """Latest state: for totals the newest row per (user, word); for the queue the newest batch per user."""
-    df = spark.read.parquet(f"{out_dir}/{name}")
-    keys = ["user_id", "word"] if name == "totals" else ["user_id"]
-    latest = Window.partitionBy(*keys)
-    return (
-        df.withColumn("_last", F.max("batch_id").over(latest))
-        .where(F.col("batch_id") == F.col("_last"))
-        .drop("_last", "batch_id")
-    )
+TOTALS_SCHEMA = "user_id long, word string, n long"
+
+
+def _table(out_dir: str, name: str, batch: int) -> str:
+    return f"{out_dir.rstrip('/')}/{name}/batch={batch}"
+
+
+def _fold_batch(out_dir: str, k: int):
+    def fold(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        before = {
+            name: spark.read.schema(schema).parquet(_table(out_dir, name, batch_id - 1)) if batch_id
+            else spark.createDataFrame([], schema)
+            for name, schema in (("totals", TOTALS_SCHEMA), ("queues", QUEUE_SCHEMA))
+        }
+        words = log_words(batch.where(F.col("user_id").isNotNull())).select("user_id", "seq", "pos", "word")
+        new = words.groupBy("user_id", "word").agg(F.count(F.lit(1)).alias("n"))
+        totals = before["totals"].unionByName(new).groupBy("user_id", "word").agg(F.sum("n").alias("n"))
+        totals.write.mode("overwrite").parquet(_table(out_dir, "totals", batch_id))
+        queues = advance_queues(words, before["queues"], k)
+        queues.write.mode("overwrite").parquet(_table(out_dir, "queues", batch_id))
+
+    return fold
+
+
+def start_history_stream(spark: SparkSession, source_dir: str, out_dir: str, checkpoint_dir: str,
+                         files_per_trigger: int = 1, available_now: bool = True, k: int = RECENT_WORDS) -> StreamingQuery:
+    """Start the stream; its tables are under ``out_dir``, a folder per batch."""
+    log = spark.readStream.schema(LOG_SCHEMA).option("maxFilesPerTrigger", files_per_trigger).parquet(source_dir)
+    w = log.writeStream.foreachBatch(_fold_batch(out_dir, k)).option("checkpointLocation", checkpoint_dir)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
+    return w.start()
+
+
+def current_view(spark: SparkSession, out_dir: str, name: str, batch: int) -> DataFrame:
+    """The state after a batch (``query.lastProgress.batchId``): ``totals`` as (user, word, n), ``recent`` as
+    (user, rank, word)."""
+    if name == "totals":
+        return spark.read.schema(TOTALS_SCHEMA).parquet(_table(out_dir, "totals", batch))
+    return queue_ranks(spark.read.schema(QUEUE_SCHEMA).parquet(_table(out_dir, "queues", batch)))
