@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,9 +42,19 @@ def partition_offsets(stats: DataFrame, part: str, amounts: list[str]) -> DataFr
     return spark.createDataFrame(out, schema)
 
 
+def release_memory() -> None:
+    """Hand memory that a finished task has freed back to the system: Spark keeps Python workers for later tasks,
+    and their allocators would keep the peak of every task before."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole ``documents`` table."""
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-__all__ = ["ASCII_UPPER", "WORD_PATTERN", "count_words", "documents", "lower_ascii", "materialize", "partition_offsets"]
+__all__ = ["ASCII_UPPER", "WORD_PATTERN", "count_words", "documents", "lower_ascii", "materialize", "partition_offsets", "release_memory"]

@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from webloom.llm.common import materialize
+from webloom.llm.common import materialize, release_memory
 from webloom.llm.components import connected_components
 
 WORDS = 5
@@ -202,6 +202,7 @@ def _within_partitions(sets: DataFrame, percent: int, partition_bytes: int) -> D
                 held.append(rows)
         if held:
             yield done(held)
+        release_memory()
 
     order = ["family", "least", "node"]
     laid = sets.repartitionByRange(int(parts), *order).sortWithinPartitions(*order)
@@ -280,6 +281,7 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                 tokens = token_set(text, words)
                 found.append((doc_id, len(tokens), *set_digest(tokens), signatures(tokens, bands).view(np.int64)))
             yield pd.DataFrame(found, columns=["doc_id", "n", "d1", "d2", "signatures"])
+        release_memory()
 
     def with_tokens(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -289,6 +291,7 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                 if (len(tokens), *set_digest(tokens)) == (x.n, x.d1, x.d2):  # else another row of the same id
                     found.append((x.family, x.node, tokens[:1].view(np.int64)[0], tokens.tobytes()))
             yield pd.DataFrame(found, columns=["family", "node", "least", "tokens"])
+        release_memory()
 
     sketches = materialize(rows.mapInPandas(sketch, "doc_id long, n long, d1 long, d2 long, signatures array<long>"))
     equal = ["n", "d1", "d2"]

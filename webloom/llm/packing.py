@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from webloom.llm.common import materialize, partition_offsets
+from webloom.llm.common import materialize, partition_offsets, release_memory
 from webloom.llm.token_pieces import encoder
 
 WINDOW = 1024
@@ -135,6 +135,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id", t
                 found = []
         if found:
             yield frame(found)
+        release_memory()
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     pieces = materialize(rows.mapInPandas(run, PIECES))

@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from webloom.llm.common import materialize, partition_offsets
+from webloom.llm.common import materialize, partition_offsets, release_memory
 from webloom.llm.token_pieces import encoder
 from webloom.session import target_partitions
 
@@ -58,6 +58,7 @@ def tokens(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id",
         for pdf in batches:
             coded = own.encode_many(pdf["text"].tolist())
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "ids": [np.append(c, end).astype("<u4").tobytes() for c in coded]})
+        release_memory()
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     return rows.mapInPandas(encode, "doc_id long, ids binary")
@@ -118,6 +119,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int, i
                     before, docs_held, held, size = before + size, [], [], 0
         if held:
             yield block()
+        release_memory()
 
     ordered = coded.repartitionByRange(target_partitions(coded), "doc_id").sortWithinPartitions("doc_id", "ids")
     ordered.mapInPandas(pack, BLOCKS).write.mode("overwrite").parquet(f"{path}/blocks")

@@ -11,14 +11,14 @@ from __future__ import annotations
 import os
 import sys
 import types
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 
 #: White space and separators where libraries may differ on what is a space (fixed values).
 UNSURE = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0 ᠎           ​    ⁠　﻿"
 #: Words remembered per process before the memory is emptied.
-REMEMBERED = 1_000_000
+REMEMBERED = 200_000
 #: Characters of a word above which a text is encoded whole.
 LONG_WORD = 200
 #: Characters of text looked up together.
@@ -104,18 +104,16 @@ class Encoder:
             words[0] = "\x00" + words[0]
         return None if words and max(map(len, words)) > LONG_WORD else words
 
-    def encode_many(self, texts: Sequence[str]) -> list[np.ndarray]:
-        """The ids of whole texts."""
-        out: list[np.ndarray] = []
+    def encode_many(self, texts: Sequence[str]) -> Iterator[np.ndarray]:
+        """The ids of whole texts, some texts at a time."""
         start = 0
         while start < len(texts):
             stop, room = start, TOGETHER
             while stop < len(texts) and (room > 0 or stop == start):
                 room -= len(texts[stop])
                 stop += 1
-            out += self._encode_some(texts[start:stop])
+            yield from self._encode_some(texts[start:stop])
             start = stop
-        return out
 
     def _encode_some(self, texts: Sequence[str]) -> list[np.ndarray]:
         if len(self.slots) > REMEMBERED:

@@ -23,6 +23,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from webloom.llm.common import release_memory
+
 #: Labelled documents that the model is fitted on, at most.
 SAMPLE = 20_000
 #: Features kept, at most.
@@ -35,6 +37,8 @@ LEAST_GAP = 6.0
 BEGINNINGS = (4, 5, 6, 7)
 GRADES = 3
 SEED = 10
+#: Words whose features a scoring task remembers before its memory is emptied.
+WORDS_REMEMBERED = 100_000
 #: Expected severity from which a document counts as toxic.
 THRESHOLD = 0.5
 
@@ -61,7 +65,7 @@ class OrdinalModel:
     def present(self, words: Iterable[str]) -> set[str]:
         """The model's features among words."""
         found: set[str] = set()
-        if len(self._by_word) > 1_000_000:
+        if len(self._by_word) > WORDS_REMEMBERED:
             self._by_word.clear()
         for w in words:
             known = self._by_word.get(w)
@@ -134,6 +138,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             names = list(counts[0] | counts[1])
             yield pd.DataFrame({"feature": ["", *names], "clean": [size[0], *(counts[0][x] for x in names)],
                                 "bad": [size[1], *(counts[1][x] for x in names)]})
+        release_memory()
 
     counted = rows.mapInPandas(count, "feature string, clean long, bad long").groupBy("feature").agg(
         F.sum("clean").alias("clean"), F.sum("bad").alias("bad"))
@@ -182,6 +187,7 @@ def severity(model: OrdinalModel, text: Column) -> Column:
             above = [model.above(t) for t in texts]
             steps = np.array([[1.0, *a, 0.0] for a in above]).reshape(len(above), -1)
             yield pd.DataFrame({"expected": [sum(a) for a in above], "grade": np.argmax(steps[:, :-1] - steps[:, 1:], axis=1)})
+        release_memory()
 
     return score(text)
 
