@@ -41,8 +41,10 @@ def test_search_page_slices_and_counts(spark):
 
 def test_history_snapshot_cut(spark):
     log = spark.createDataFrame([(1, 0, "a b"), (1, 1, "b c"), (1, 5, "z")], "user_id long, seq long, text string")
-    snap = {(r.word, r.n, r.recent_rank) for r in history.history_snapshot(log, 1).collect()}
-    assert snap == {("a", 1, 3), ("b", 2, 2), ("c", 1, 1)}
+    outs = spark.createDataFrame([(1, 1), (1, 6)], "user_id long, seq long")
+    snap = {(r.signout_seq, r.word, r.n, r.recent_rank) for r in history.history_snapshot(log, outs).collect()}
+    # The second session starts anew; users without a sign-out would be in none.
+    assert snap == {(1, "a", 1, 3), (1, "b", 2, 2), (1, "c", 1, 1), (6, "z", 1, 1)}
 
 
 def test_posting_blocks_are_bounded(spark):

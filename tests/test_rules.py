@@ -199,5 +199,7 @@ def test_recent_words_chunked_equals_single_chunk(spark):
     one = sorted((r.user_id, r.rank, r.word) for r in history.recent_words(log).collect())
     many = sorted((r.user_id, r.rank, r.word) for r in history.recent_words(log, chunk_rows=3).collect())
     assert one == many
-    q = history.fold_queue([], " ".join(texts).split())
+    q = []
+    for word in " ".join(texts).split():
+        q = q if word in q else (q + [word])[-10:]
     assert [w for u, _, w in one if u == 1] == list(reversed(q))

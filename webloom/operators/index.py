@@ -36,14 +36,10 @@ def all_tokens(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     )
 
 
-def doc_word_count(df: DataFrame, toks: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Kept words per document; documents with no word report 0."""
-    counts = toks.groupBy("doc_id").agg(F.count(F.lit(1)).alias("num_words"))
-    return (
-        df.select(F.col(id_col).alias("doc_id"))
-        .join(counts, "doc_id", "left")
-        .select("doc_id", F.coalesce(F.col("num_words"), F.lit(0)).cast("bigint").alias("num_words"))
-    )
+def doc_word_count(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Kept words per document, row by row; documents with no word report 0."""
+    kept = F.size(F.filter(token_array(F.coalesce(F.col(text_col), F.lit(""))), is_kept_word))
+    return df.select(F.col(id_col).alias("doc_id"), kept.cast("bigint").alias("num_words"))
 
 
 def word_doc_pairs(toks: DataFrame) -> DataFrame:
@@ -71,8 +67,9 @@ def all_word_doc_pairs(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """Distinct ``(word, doc_id)`` over every non-empty token (stop words included),
     written once as a table: the inverted index and the spelling dictionary both
     derive from it, so the corpus is tokenised once."""
-    toks = all_tokens(df, id_col, text_col)
-    return materialize(toks.select("word", "doc_id").distinct())
+    words = F.array_distinct(token_array(F.col(text_col)))  # a document is one row: no shuffle
+    return materialize(df.select(F.col(id_col).alias("doc_id"), F.explode(words).alias("word")).where(F.col("word") != "")
+                       .select("word", "doc_id"))
 
 
 def inverted_index_from_pairs(all_pairs: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -59,7 +59,7 @@ def q_stopword_filter(spark, sf_dir):
 
 def q_doc_word_count(spark, sf_dir):
     docs = tables.read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    return index.doc_word_count(docs, index.tokens(docs))
+    return index.doc_word_count(docs)
 
 
 def q_lexicon(spark, sf_dir):
@@ -255,11 +255,8 @@ def q_recent_words(spark, sf_dir):
     return history.recent_words(tables.search_log(spark, sf_dir))
 
 
-SIGNOUT_SEQ = 2
-
-
 def q_history_snapshot(spark, sf_dir):
-    return history.history_snapshot(tables.search_log(spark, sf_dir), SIGNOUT_SEQ)
+    return history.history_snapshot(tables.search_log(spark, sf_dir), tables.sign_outs(spark, sf_dir))
 
 
 CRAWL_DEPTH = 2

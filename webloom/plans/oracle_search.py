@@ -138,7 +138,7 @@ def recent_cte(src: str = "lw", name: str = "rw", k: int = 10) -> str:
     FROM {src} WHERE user_id IS NOT NULL GROUP BY user_id))"""
 
 
-def build(base_ctes, queries_cte, chain_cte, pagerank_ctes, signout_seq: int, crawl_depth: int) -> dict[str, str]:
+def build(base_ctes, queries_cte, chain_cte, pagerank_ctes, crawl_depth: int) -> dict[str, str]:
     def w(*ctes):
         return "WITH " + ",\n".join(ctes) + "\n"
 
@@ -167,10 +167,20 @@ SELECT user_id, rank, word, n FROM (
 WHERE rank <= 20"""
     sql["recent_words"] = w(LOG, log_words(), recent_cte()) + "SELECT user_id, rank, word FROM rw"
     sql["history_snapshot"] = w(
-        LOG, f"cut AS (SELECT * FROM log WHERE seq <= {signout_seq})", log_words("cut", "lw"), counts_cte(),
+        LOG,
+        """outs AS (
+  SELECT conv_id AS user_id, min(turn) AS seq FROM conversations WHERE role = 'assistant' GROUP BY conv_id
+  UNION SELECT conv_id, max(turn) FROM conversations WHERE role = 'assistant' GROUP BY conv_id)""",
+        """ended AS (
+  SELECT l.user_id, l.seq, l.text, min(o.seq) AS signout_seq FROM log l
+  JOIN outs o ON o.user_id = l.user_id AND o.seq >= l.seq GROUP BY l.user_id, l.seq, l.text)""",
+        "sessions AS (SELECT *, dense_rank() OVER (ORDER BY user_id, signout_seq) AS sid FROM ended)",
+        "cut AS (SELECT sid AS user_id, seq, text FROM sessions)", log_words("cut", "lw"), counts_cte(),
         recent_cte(),
     ) + """
-SELECT c.user_id, c.word, c.n, r.rank AS recent_rank FROM hc c LEFT JOIN rw r ON r.user_id = c.user_id AND r.word = c.word"""
+SELECT k.user_id, k.signout_seq, c.word, c.n, r.rank AS recent_rank
+FROM hc c JOIN (SELECT DISTINCT sid, user_id, signout_seq FROM sessions) k ON k.sid = c.user_id
+LEFT JOIN rw r ON r.user_id = c.user_id AND r.word = c.word"""
     levels = ["c0 AS (SELECT DISTINCT p_partkey AS id, 0 AS depth FROM part WHERE p_size = 1)"]
     for d in range(1, crawl_depth + 1):
         seen = " UNION ALL ".join(f"SELECT id FROM c{k}" for k in range(d))

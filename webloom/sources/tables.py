@@ -6,12 +6,10 @@ filters; nothing is inferred at read time.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from webloom import schemas
-from webloom.functions.text import whitespace_words
-from webloom.operators.distribute import row_numbers
 
 
 # Unique key of each table: used to spread a scan that arrives in too few splits.
@@ -50,36 +48,22 @@ def part_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Link graph among parts: within an order, each line's part links to the next line's part.
 
     Order inside an order: l_linenumber, l_partkey, l_suppkey, l_quantity,
-    l_extendedprice. "Next line" is found without a per-order window: rows get
-    a global position in that order (range-partitioned, so one huge order is
-    spread over several tasks) and are joined to the row one position later
-    in the same order. Result: ``(from_id, to_id)``, duplicates kept.
+    l_extendedprice. One exchange by order; an order is a handful of lines.
+    Result: ``(from_id, to_id)``, duplicates kept.
     """
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice"
     )
-    pos = row_numbers(
-        li,
-        order_by=["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"],
-        out="g",
-    ).select("l_orderkey", "l_partkey", "g")
-    nxt = pos.select(
-        F.col("l_orderkey").alias("o2"), (F.col("g") - 1).alias("g2"), F.col("l_partkey").alias("to_id")
-    )
-    return (
-        pos.join(nxt, (pos.l_orderkey == nxt.o2) & (pos.g == nxt.g2), "inner")
-        .select(F.col("l_partkey").alias("from_id"), "to_id")
-        .where(F.col("from_id").isNotNull() & F.col("to_id").isNotNull())
-    )
+    lines = Window.partitionBy("l_orderkey").orderBy(
+        "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
+    chain = li.select(F.col("l_partkey").alias("from_id"), F.lead("l_partkey").over(lines).alias("to_id"))
+    return chain.where(F.col("from_id").isNotNull() & F.col("to_id").isNotNull())
 
 
 def benchmark_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Query table: the first three whitespace-separated words of each benchmark text."""
+    """Query table: each benchmark text, whole, is one query."""
     b = read_table(spark, sf_dir, "benchmark")
-    return b.select(
-        F.col("item_id").alias("query_id"),
-        F.array_join(F.slice(whitespace_words(F.col("text")), 1, 3), " ").alias("keywords"),
-    )
+    return b.select(F.col("item_id").alias("query_id"), F.col("text").alias("keywords"))
 
 
 def misspelt_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -113,6 +97,13 @@ def search_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def sign_outs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sign-outs ``(user_id, seq)``: each user's first and last assistant turn."""
+    turns = read_table(spark, sf_dir, "conversations").where(F.col("role") == "assistant").groupBy(
+        F.col("conv_id").alias("user_id")).agg(F.min("turn").alias("first"), F.max("turn").alias("last"))
+    return turns.select("user_id", F.explode(F.array_distinct(F.array("first", "last"))).alias("seq"))
+
+
 __all__ = [
     "read_table",
     "spread",
@@ -121,4 +112,5 @@ __all__ = [
     "misspelt_queries",
     "search_log",
     "search_session",
+    "sign_outs",
 ]
