@@ -9,7 +9,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from webloom.session import materialize
+from webloom import session
+
+#: Setting under which Spark removes a query's shuffle files as soon as the query has ended.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: Words: maximal runs of anything but the space and the characters U+0009 to U+000D.
@@ -42,6 +45,32 @@ def partition_offsets(stats: DataFrame, part: str, amounts: list[str]) -> DataFr
     return spark.createDataFrame(out, schema)
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared checkpoint folder and read it back; its shuffle files go once it is written (else
+    they stay until the driver collects its garbage). The session's setting is left as it was."""
+    conf = df.sparkSession.conf
+    before = conf.get(SHUFFLE_CLEANUP, None)
+    conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        return session.materialize(df)
+    finally:
+        if before is None:
+            conf.unset(SHUFFLE_CLEANUP)
+        else:
+            conf.set(SHUFFLE_CLEANUP, before)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``materialize`` wrote, once all that is read from them has been written itself."""
+    for table in tables:
+        folders = {f.rpartition("/")[0] for f in table.inputFiles()}
+        jvm = table.sparkSession._jvm
+        for folder in folders:
+            if "/webloom-tables/" in folder:
+                path = jvm.org.apache.hadoop.fs.Path(folder)
+                path.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def release_memory() -> None:
     """Hand memory that a finished task has freed back to the system: Spark keeps Python workers for later tasks,
     and their allocators would keep the peak of every task before."""
@@ -57,4 +86,4 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-__all__ = ["ASCII_UPPER", "WORD_PATTERN", "count_words", "documents", "lower_ascii", "materialize", "partition_offsets", "release_memory"]
+__all__ = ["ASCII_UPPER", "WORD_PATTERN", "count_words", "discard", "documents", "lower_ascii", "materialize", "partition_offsets", "release_memory"]

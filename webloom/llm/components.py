@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from webloom.llm.common import materialize
+from webloom.llm.common import discard, materialize
 
 
 def connected_components(links: DataFrame) -> DataFrame:
@@ -27,16 +27,22 @@ def connected_components(links: DataFrame) -> DataFrame:
             F.min("label").alias("label"))
         hooks = materialize(hooks)
         further = hooks.select(F.col("node").alias("_via"), F.col("label").alias("_further"))
+        first = hooks
         hooks = materialize(hooks.join(further, F.col("label") == F.col("_via")).select("node", F.col("_further").alias("label")))
+        discard(first)
         if labels is None:
             labels = hooks
         else:
+            older = labels
             moved = hooks.select(F.col("node").alias("_old"), F.col("label").alias("_new"))
             labels = materialize(labels.join(moved, F.col("label") == F.col("_old"), "left").select(
                 "node", F.coalesce("_new", "label").alias("label")))
+            discard(older)
         ends = [hooks.select(F.col("node").alias(f"_{x}"), F.col("label").alias(f"_to_{x}")) for x in "ab"]
+        before = left
         left = materialize(
             left.join(ends[0], F.col("a") == F.col("_a")).join(ends[1], F.col("b") == F.col("_b"))
             .where("_to_a <> _to_b").select(F.least("_to_a", "_to_b").alias("a"), F.greatest("_to_a", "_to_b").alias("b")).distinct())
+        discard(before)
         if left.isEmpty():
             return labels

@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from webloom.llm.common import materialize, release_memory
+from webloom.llm.common import discard, materialize, release_memory
 from webloom.llm.components import connected_components
 
 WORDS = 5
@@ -297,12 +297,17 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     equal = ["n", "d1", "d2"]
     classes = materialize(sketches.where("n > 0").groupBy(*equal).agg(F.min("doc_id").alias("rep"))
                           .withColumn("node", F.monotonically_increasing_id()))
-    cells = (
+    signed = materialize(
         sketches.where(F.size("signatures") > 0).withColumnRenamed("doc_id", "rep").join(classes, [*equal, "rep"])
-        .select("node", F.explode("signatures").alias("sig"))
-    )
-    leaders = cells.groupBy("sig").agg(F.min("node").alias("leader"), F.max("node").alias("last")).where("leader < last")
-    links = materialize(cells.join(leaders.select("sig", "leader"), "sig").where("node <> leader").select("node", "leader").distinct())
+        .select("node", "signatures"))
+    slim = materialize(sketches.drop("signatures"))
+    discard(sketches)
+    # Signatures that several documents have are found first; they are few, and the rest need not be kept for the join.
+    cells = signed.select("node", F.explode("signatures").alias("sig"))
+    leaders = materialize(cells.groupBy("sig").agg(F.min("node").alias("leader"), F.max("node").alias("last"))
+                          .where("leader < last").select("sig", "leader"))
+    links = materialize(cells.join(leaders, "sig").where("node <> leader").select("node", "leader").distinct())
+    discard(signed, leaders)
     families = connected_components(links).select("node", F.col("label").alias("family"))
     wanted = families.join(classes, "node").withColumnRenamed("rep", "doc_id")
     sets = materialize(rows.join(wanted, "doc_id").mapInPandas(with_tokens, "family long, node long, least long, tokens binary"))
@@ -310,5 +315,5 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     named = classes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     smallest = named.groupBy("label").agg(F.min("rep").alias("component_id"))
     components = named.join(smallest, "label").select(*equal, "component_id")
-    return sketches.drop("signatures").join(components, equal, "left").select(
+    return slim.join(components, equal, "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
