@@ -132,6 +132,15 @@ def test_sinks_insert_if_absent_and_overwrite(spark):
     assert index_store.read_index_table(spark, root, "page_rank").count() == 1
     inv = spark.createDataFrame([(w, d) for w in range(1, 5) for d in range(w * 3)], "word_id long, doc_id long")
     index_store.write_postings(inv, root, buckets=4)
+    import glob
+
+    import pyarrow.parquet as pq
+
+    files = glob.glob(f"{root.removeprefix('file:')}/inverted_index/bucket=*/*.parquet")
+    assert files
+    for f in files:
+        rows = [(r["word_id"], r["doc_id"]) for r in pq.ParquetFile(f).read().to_pylist()]
+        assert rows == sorted(rows)
     wanted = spark.createDataFrame([(2,), (4,)], "word_id long")
     got = index_store.read_postings(spark, root, wanted, buckets=4).groupBy("word_id").count().collect()
     assert sorted((r.word_id, r["count"]) for r in got) == [(2, 6), (4, 12)]

@@ -42,7 +42,9 @@ def read_index_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     """Scan one index table with its schema; a missing table reads as empty."""
     try:
         return spark.read.schema(SCHEMAS[name]).parquet(table_path(root, name))
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], SCHEMAS[name])
 
 
@@ -81,15 +83,15 @@ def _bucket(col: str, buckets: int):
 def write_postings(inv: DataFrame, root: str, buckets: int = POSTING_BUCKETS) -> None:
     """K3: postings in folders by a hash bucket of ``word_id``, sorted by (word_id, doc_id).
 
-    Writers are fed by range partitions of (word_id, doc_id), so a word with
-    postings in a third of all documents is written by many tasks (several
-    files in its bucket folder), never by one.
+    Writers are fed by range partitions of (bucket, word_id, doc_id), so a task
+    writes a few buckets in order, and a word with postings in a third of all
+    documents is written by many tasks (several files in its bucket folder).
     """
     (
         inv.select("word_id", "doc_id")
         .withColumn("bucket", _bucket("word_id", buckets))
-        .repartitionByRange("word_id", "doc_id")
-        .sortWithinPartitions("word_id", "doc_id")
+        .repartitionByRange("bucket", "word_id", "doc_id")
+        .sortWithinPartitions("bucket", "word_id", "doc_id")
         .write.mode("overwrite").partitionBy("bucket")
         .parquet(table_path(root, "inverted_index"))
     )
