@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from webloom.llm.common import materialize
+
 # Spellings that count as the same word.
 SPELLINGS = [
     ("licence", "license"), ("organisation", "organization"), ("acknowledgement", "acknowledgment"),
@@ -49,18 +51,19 @@ LICENCES = [
 ]
 
 
-def canonical_line(line: Column) -> Column:
-    """Canonical form of one line; empty for a copyright notice."""
-    out = F.lower(line)
-    out = F.regexp_replace(out, COPYRIGHT_LINE, "")
+def _respelled(line: Column) -> Column:
+    """A line with equivalent spellings made one; most lines have none and are looked through only once."""
+    out = line
     for old, new in SPELLINGS:
         out = F.replace(out, F.lit(old), F.lit(new))
-    return F.trim(F.regexp_replace(out, NOT_WORDS, " "))
+    return F.when(line.rlike("|".join(old for old, _ in SPELLINGS)), out).otherwise(line)
 
 
 def canonical_lines(text: Column) -> Column:
-    """Canonical forms of the lines of a text that have any."""
-    return F.filter(F.transform(F.split(text, "\n"), canonical_line), lambda x: x != "")
+    """Canonical forms of the lines of a text that have any; a copyright notice has none."""
+    lines = F.transform(F.split(F.lower(text), "\n"), lambda x: F.regexp_replace(x, COPYRIGHT_LINE, ""))
+    words = F.transform(F.transform(lines, _respelled), lambda x: F.trim(F.regexp_replace(x, NOT_WORDS, " ")))
+    return F.filter(words, lambda x: x != "")
 
 
 def _digest(text: Column) -> Column:
@@ -89,7 +92,8 @@ def scan(docs: DataFrame, licences: DataFrame | None = None, id_col: str = "doc_
         (F.size("lines") > 0).alias("any"), F.array_distinct(F.transform("lines", _digest)).alias("units"))
     # Notices are looked up once for each digest of a line; a row's key is its id and whole-text digest, and
     # rows that share both have the same lines up to how they are broken, so the set of lines is in the key too.
-    keyed = rows.withColumn("units_digest", F.sha2(F.array_join(F.transform("units", F.hex), " "), 256))
+    # Written, digests only: filters that joins infer would work out the canonical texts again each.
+    keyed = materialize(rows.withColumn("units_digest", F.sha2(F.array_join(F.transform("units", F.hex), " "), 256)))
     hits = (
         keyed.select("doc_id", "units_digest", F.explode("units").alias("digest")).join(known, "digest")
         .groupBy("doc_id", "units_digest").agg(F.array_sort(F.collect_set("license_id")).alias("notices"))
