@@ -131,3 +131,15 @@ def test_pack_messy_rows(spark, messy, rows, nothing):
     assert not left
     checked([(r.row_id, r.start, r.length, r.ids_crc32, r.doc_tokens, r.sequence_id, r.offset) for r in got], documents, 1024)
     assert pack(nothing, tokenizer_path(BYTE), 0).collect() == []
+
+
+def test_forgetting_rare_words_changes_no_ids(monkeypatch):
+    from webloom.llm import token_pieces
+    texts = [" ".join(f"w{k % (3 + j)} rare{j}x{k} the" for k in range(40)) for j in range(60)]
+    for name in ("word_bpe_49k.json", "byte_bpe_50k.json"):
+        own = token_pieces.Encoder(token_pieces.tokenizer_path(name))
+        for most in (0, 10, 150):
+            monkeypatch.setattr(token_pieces, "REMEMBERED", most)
+            for at, text in enumerate(texts):
+                got = list(own.encode_many([text, texts[0]]))
+                assert got[0].tolist() == own.whole(text).tolist() and got[1].tolist() == own.whole(texts[0]).tolist(), (most, at)

@@ -17,7 +17,7 @@ import numpy as np
 
 #: White space and separators where libraries may differ on what is a space (fixed values).
 UNSURE = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0 ᠎           ​    ⁠　﻿"
-#: Words remembered per process before the memory is emptied.
+#: Words remembered per process; beyond it those met once are forgotten, and of the others all but the most used half.
 REMEMBERED = 200_000
 #: Characters of a word above which a text is encoded whole.
 LONG_WORD = 200
@@ -52,13 +52,26 @@ class Encoder:
         self.separator = "\n" if self.spaced else " | "
         ids = self.whole(self.separator)
         self.separator_id = int(ids[0]) if len(ids) == 1 else -1
-        self._forget()
-
-    def _forget(self) -> None:
         self.slots = _Slots()
-        self.starts, self.counts = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
+        self.starts, self.counts, self.uses = np.zeros(1024, np.int64), np.zeros(1024, np.int64), np.zeros(1024, np.int64)
         self.ids, self.used = np.zeros(4096, np.uint32), 0
 
+    def _forget(self) -> None:
+        """Keep the words met more than once, at most half of ``REMEMBERED``; their uses count half from now on."""
+        uses = self.uses[: len(self.slots)]
+        kept = np.flatnonzero(uses > 1)
+        if len(kept) > REMEMBERED // 2:
+            kept = np.sort(kept[np.argsort(-uses[kept], kind="stable")[: REMEMBERED // 2]])
+        words, slots = list(self.slots), _Slots()
+        slots.update((words[k], i) for i, k in enumerate(kept.tolist()))
+        counts = self.counts[kept]
+        starts = np.cumsum(counts) - counts
+        total = int(counts.sum())
+        self.ids = np.append(self.ids[np.arange(total) + np.repeat(self.starts[kept] - starts, counts)], np.zeros(4096, np.uint32))
+        room = np.zeros(1024, np.int64)
+        self.starts, self.counts, self.uses = (np.append(a, room) for a in (starts, counts, uses[kept] // 2))
+        self.slots, self.used = slots, total
+
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32)
 
@@ -82,7 +95,7 @@ class Encoder:
             return
         flat = np.concatenate(coded)
         while first + n > len(self.starts):
-            self.starts, self.counts = (np.concatenate([a, np.zeros_like(a)]) for a in (self.starts, self.counts))
+            self.starts, self.counts, self.uses = (np.concatenate([a, np.zeros_like(a)]) for a in (self.starts, self.counts, self.uses))
         while self.used + len(flat) > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
         counts = np.fromiter(map(len, coded), np.int64, n)
@@ -125,6 +138,8 @@ class Encoder:
         self._learn()
         known = [a for a in at if a is not None]
         slots = np.concatenate(known) if known else np.zeros(0, np.int64)
+        used = np.bincount(slots, minlength=1)
+        self.uses[: len(used)] += used
         counts = self.counts[slots]
         ends = np.cumsum(counts)
         total = int(ends[-1]) if len(ends) else 0
