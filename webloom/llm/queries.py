@@ -39,7 +39,7 @@ def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.line_groups(documents(spark, sf_dir))
+    return line_dedup.line_groups(documents(spark, sf_dir), every_line=True)
 
 
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
