@@ -6,7 +6,8 @@ compared in constant time, and the longest common extension of two positions is
 
 A fingerprint samples the prefix array: at a fixed stride from the front (prefixes) and at the same stride from
 the back (suffixes). Two fingerprints tell how far the texts agree from the front, from the back, and, block by
-block, in between; ``likeness`` is the part of the longer text that agrees.
+block, in between; ``likeness`` is the part of the longer text that agrees. Samples lose what lies between edits that change
+the length; where both texts are at hand, ``aligned_likeness`` matches spans at any offset by their prefix arrays.
 
 The query form compares each text with its next document and with an edited text that takes in the head of that
 document. Neighbours meet without a global sort in one task: ids are cut into consecutive blocks of bounded
@@ -16,6 +17,7 @@ text size, each block also gets the first row of the following one, and a task w
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,6 +32,11 @@ PRIME = (1 << 31) - 1
 BASES = (1_000_003, 998_244_353)
 #: Samples per direction: the stride is the least power of two that needs no more.
 SAMPLES = 64
+#: Lengths of the spans by which texts are brought together again after an edit, tried one after the other; equal
+#: spans looked at on either side of a span's own place, where a text repeats itself.
+WINDOWS, PLACES = (256, 64, 16, 6), 2
+#: Characters of a gap, in either text, up to which the shortest spans are tried: in longer ones they agree by chance.
+SHORT_GAP = 128
 #: UTF-8 bytes of text in a block of neighbours.
 BLOCK_BYTES = 8 << 20
 
@@ -162,6 +169,81 @@ def likeness(fp: str, other: str, samples: int = SAMPLES) -> float:
     return min(matched, n, m) / max(n, m)
 
 
+def _windows(text: PrefixHashes, positions: np.ndarray, w: int, top: int) -> np.ndarray:
+    """Hashes (first base) of the spans of w at the positions, all shifted to position ``top``."""
+    s = text.sums[0]
+    return _fold((s[positions + w] + np.uint64(PRIME) - s[positions]) % np.uint64(PRIME) * text.powers.up_to(top)[0, top - positions])
+
+
+def _anchors(a: PrefixHashes, b: PrefixHashes, gap: tuple[int, int, int, int], w: int) -> list[tuple[int, int]]:
+    """The longest chain, rising in both texts, of equal spans of w: every w-th one of b's against all of a's."""
+    i0, i1, j0, j1 = gap
+    top = max(a.n, b.n)
+    js, at = np.arange(j0, j1 - w + 1, w), np.arange(i0, i1 - w + 1)
+    theirs, mine = _windows(b, js, w, top), _windows(a, at, w, top)
+    seen = np.zeros(1 << 16, bool)
+    seen[theirs & np.uint64(0xFFFF)] = True
+    hit = np.flatnonzero(seen[mine & np.uint64(0xFFFF)])
+    hit = hit[np.isin(mine[hit], theirs)]
+    # Hash and position in one number of 31 + 32 bits, so that a span's equals lie in order of position.
+    found = np.sort((mine[hit] << np.uint64(32)) | at[hit].astype(np.uint64))
+    own = (theirs << np.uint64(32)) | (js - j0 + i0).astype(np.uint64)
+    near = np.searchsorted(found, own)
+    ends: list[int] = []
+    links: list[tuple[int, int, int]] = []
+    tails: list[int] = []
+    for j, h, k in zip(js.tolist(), theirs.tolist(), near.tolist(), strict=True):
+        places = [int(x) & 0xFFFFFFFF for x in found[max(k - PLACES, 0) : k + PLACES] if int(x) >> 32 == h]
+        for i in reversed(places):
+            n = bisect_left(ends, i)
+            links.append((i, j, tails[n - 1] if n else -1))
+            ends[n : n + 1], tails[n : n + 1] = [i], [len(links) - 1]
+    chain, k = [], tails[-1] if tails else -1
+    while k >= 0:
+        i, j, k = links[k]
+        chain.append((i, j))
+    return chain[::-1]
+
+
+def _common_before(a: PrefixHashes, i: int, b: PrefixHashes, j: int, most: int) -> int:
+    """How many characters before i and before j agree, up to ``most``, by binary search."""
+    low, high = 0, most
+    while low < high:
+        mid = (low + high + 1) // 2
+        low, high = (mid, high) if a.same(i - mid, b, j - mid, mid) else (low, mid - 1)
+    return low
+
+
+def matched(a: PrefixHashes, b: PrefixHashes) -> int:
+    """Characters that agree in an alignment of two texts: the common start and end, then from anchors of each of
+    ``WINDOWS`` as far as both sides agree, and so on in the gaps that are left."""
+    total, gaps = 0, [(0, a.n, 0, b.n, 0)]
+    while gaps:
+        i0, i1, j0, j1, level = gaps.pop()
+        k = min(a.common_extension(i0, b, j0), i1 - i0, j1 - j0)
+        i0, j0, total = i0 + k, j0 + k, total + k
+        k = _common_before(a, i1, b, j1, min(i1 - i0, j1 - j0))
+        i1, j1, total = i1 - k, j1 - k, total + k
+        while level < len(WINDOWS) and min(i1 - i0, j1 - j0) < WINDOWS[level]:
+            level += 1
+        if level == len(WINDOWS) or level == len(WINDOWS) - 1 and max(i1 - i0, j1 - j0) > SHORT_GAP:
+            continue
+        for i, j in _anchors(a, b, (i0, i1, j0, j1), WINDOWS[level]):
+            if i < i0 or j < j0 or not a.same(i, b, j, WINDOWS[level]):
+                continue
+            back = _common_before(a, i, b, j, min(i - i0, j - j0))
+            on = min(a.common_extension(i, b, j), i1 - i, j1 - j)
+            gaps.append((i0, i - back, j0, j - back, level + 1))
+            i0, j0, total = i + on, j + on, total + back + on
+        gaps.append((i0, i1, j0, j1, level + 1))
+    return total
+
+
+def aligned_likeness(a: PrefixHashes, b: PrefixHashes) -> float:
+    """Part of the longer text that agrees with the other at any offset, 0 to 1; two empty texts give 1."""
+    return matched(a, b) / max(a.n, b.n) if a.n or b.n else 1.0
+
+
 def edited(text: str, following: str) -> str:
     """``text`` whose last third is replaced by as many characters from the head of ``following``."""
     k = len(text) // 3
@@ -196,13 +278,14 @@ RESULT = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string,
 
 
 def neighbour_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                           samples: int = SAMPLES, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+                           samples: int = SAMPLES, block_bytes: int = BLOCK_BYTES, aligned: bool = False) -> DataFrame:
     """Per row ``doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next``.
 
     The next document is the one with the next smaller id; the smallest id is followed by the largest (a single
     document follows itself). Rows that share an id are ordered by text; a null text counts as empty, a null id
     as the smallest id, -2^63. An empty text has the fingerprint of no characters; its likeness to another is
-    0, to an empty one 1. Other columns are ignored; an empty table gives an empty result.
+    0, to an empty one 1. Other columns are ignored; an empty table gives an empty result. With ``aligned`` the
+    likenesses are those of the whole texts (``aligned_likeness``), else of their fingerprints.
     """
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("id"),
                        F.coalesce(F.col(text_col), F.lit("")).alias("text"))
@@ -221,12 +304,18 @@ def neighbour_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: st
         own = int((~pdf["tail"]).sum())
         ids, texts = pdf["id"].tolist(), pdf["text"].tolist()
         out, mine = [], fingerprint(texts[0], powers, samples) if own else ""
+        whole = PrefixHashes(texts[0], powers) if own and aligned else None
         for i in range(own):
             new = edited(texts[i], texts[i + 1])
             following = fingerprint(texts[i + 1], powers, samples)
             changed = fingerprint(new, powers, samples)
-            out.append((ids[i], len(texts[i]), hashlib.sha256(new.encode("utf-8", "surrogatepass")).hexdigest(), mine, changed,
-                        likeness(mine, changed, samples), likeness(mine, following, samples)))
+            if whole is not None:
+                after = PrefixHashes(texts[i + 1], powers)
+                near = aligned_likeness(whole, PrefixHashes(new, powers)), aligned_likeness(whole, after)
+                whole = after
+            else:
+                near = likeness(mine, changed, samples), likeness(mine, following, samples)
+            out.append((ids[i], len(texts[i]), hashlib.sha256(new.encode("utf-8", "surrogatepass")).hexdigest(), mine, changed, *near))
             mine = following
         return pd.DataFrame(out, columns=["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"])
 
@@ -236,4 +325,4 @@ def neighbour_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: st
     return dealt.groupBy("block").applyInPandas(walk, RESULT)
 
 
-__all__ = ["PrefixHashes", "Powers", "edited", "fingerprint", "likeness", "neighbour_fingerprints"]
+__all__ = ["PrefixHashes", "Powers", "aligned_likeness", "edited", "fingerprint", "likeness", "matched", "neighbour_fingerprints"]

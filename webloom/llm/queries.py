@@ -23,7 +23,7 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fingerprints.neighbour_fingerprints(documents(spark, sf_dir))
+    return fingerprints.neighbour_fingerprints(documents(spark, sf_dir), aligned=True)
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
