@@ -23,6 +23,17 @@ SPELLINGS = [
 ]
 #: Lines that name a copyright holder, or reserve rights: not part of the licence itself (fixed value).
 COPYRIGHT_LINE = r"^[^a-z]*(copyright|\(c\)|©)[^a-z]*(\(c\)|©|[0-9]{4}).*$|^[^a-z]*all rights reserved[^a-z]*$"
+#: Lines that begin, after comment marks and "portions", with a holder's name behind copyright or its sign, or with
+#: (c) and have a year, and that name no term of a licence (fixed value).
+_TERMS = (r"\b(notices?|holders?|owners?|owned|licen[cs]\w*|laws?|disclaimers?|conditions?|permissions?|permit\w*|warrant\w*|liab\w*"
+          r"|statements?|shall|must|is|are|any|this|these|interests?|infring\w*|patents?|trademarks?|treat\w*|grant\w*|works?|protect\w*)\b"
+          r"|(?<!all )\brights?\b")
+HOLDER_LINE = rf"^[^\p{{L}}\p{{N}}(©]*(portions\s+)?(copyright\b|©|\(c\)(?=.*\b[0-9]{{4}}\b))(?=.*[\p{{L}}\p{{N}}])(?!.*({_TERMS})).*$"
+#: Spellings of several words, as they are once punctuation and line ends have become single spaces.
+JOINED_SPELLINGS = [
+    ("sub license", "sublicense"), ("non commercial", "noncommercial"), ("copyright owner", "copyright holder"),
+    ("per cent", "percent"), ("fulfil ", "fulfill "),
+]
 NOT_WORDS = r"[^\p{L}\p{N}]+"
 
 # Published licence texts and notices.
@@ -61,13 +72,17 @@ def _respelled(line: Column) -> Column:
 
 def canonical_lines(text: Column) -> Column:
     """Canonical forms of the lines of a text that have any; a copyright notice has none."""
-    lines = F.transform(F.split(F.lower(text), "\n"), lambda x: F.regexp_replace(x, COPYRIGHT_LINE, ""))
+    lines = F.transform(F.split(F.lower(text), "\n"), lambda x: F.regexp_replace(F.regexp_replace(x, COPYRIGHT_LINE, ""), HOLDER_LINE, ""))
     words = F.transform(F.transform(lines, _respelled), lambda x: F.trim(F.regexp_replace(x, NOT_WORDS, " ")))
     return F.filter(words, lambda x: x != "")
 
 
 def _digest(text: Column) -> Column:
-    return F.unhex(F.sha2(text, 256))
+    """Digest of canonical lines joined by spaces, with spellings that were broken over lines or spaces made one."""
+    out = text
+    for old, new in JOINED_SPELLINGS:
+        out = F.replace(out, F.lit(old), F.lit(new))
+    return F.unhex(F.sha2(F.when(text.rlike("|".join(old for old, _ in JOINED_SPELLINGS)), out).otherwise(text), 256))
 
 
 def known_licences(spark: SparkSession, licences: list[tuple[str, str]] | None = None) -> DataFrame:
