@@ -6,8 +6,10 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from webloom.plans.catalog import QUERIES
+from webloom.plans.oracle import ORACLE_SQL
 
-from conftest import SF_SMALL
+from sf_paths import SF_SMALL
 
 TABLES = ["part", "lineitem", "documents", "pages", "benchmark", "conversations"]
 NAMES = [
@@ -35,7 +37,7 @@ def duck():
 
 
 def test_every_query_has_an_oracle_or_is_listed():
-    assert set(queries()) - set(oracle_sql()) == {"page_rank_converged"}
+    assert set(QUERIES) - set(ORACLE_SQL) == {"page_rank_converged"}
 
 
 def test_entry_runs(spark):

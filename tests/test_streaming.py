@@ -9,7 +9,7 @@ from webloom.operators import history
 from webloom.sources import tables
 from webloom.streaming.history_stream import current_view, start_history_stream
 
-from conftest import SF_SMALL
+from sf_paths import SF_SMALL
 
 
 def test_stream_matches_batch(spark):
