@@ -8,14 +8,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from webloom.llm import exact_dedup, fingerprints, licences, line_dedup, mixing, ngram_join, packing, sharding, token_files, toxicity
+from webloom.llm import exact_dedup, fingerprints, licences, line_dedup, merge_replay, mixing, ngram_join, packing, sharding, token_files, toxicity
 from webloom.llm.common import count_words, documents
-from webloom.llm.token_pieces import tokenizer_path
+from webloom.llm.token_pieces import tokenizer_path, word_pattern
 from webloom.session import ensure_checkpoint_dir
 
 #: The end id of the word tokenizer's files, and of the byte tokenizer's windows.
 FILE_TOKENIZER, FILE_END = "word_bpe_49k.json", 1
 PACK_TOKENIZER, PACK_END = "byte_bpe_50k.json", 0
+RANK_FILE = "byte_bpe_multi_50k.tiktoken"
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,6 +66,12 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.rate(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op11_merge_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = tokenizer_path(RANK_FILE)
+    coded = merge_replay.encode(documents(spark, sf_dir), ranks, word_pattern())
+    return merge_replay.digests(merge_replay.decode(coded, ranks))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_fingerprints": op2_fingerprints,
@@ -76,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_licences": op8_licences,
     "op9_sharding": op9_sharding,
     "op10_toxicity": op10_toxicity,
+    "op11_merge_replay": op11_merge_replay,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"

@@ -162,3 +162,10 @@ def tokenizer_path(name: str) -> str:
     import public_tokenizers
 
     return str(public_tokenizers.path(name))
+
+
+def word_pattern() -> str:
+    """The pattern that cuts texts into words before the merges of the public rank files."""
+    import public_tokenizers
+
+    return str(public_tokenizers.PATTERN)
