@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from webloom.llm import exact_dedup, fingerprints, licences, line_dedup, merge_replay, mixing, ngram_join, packing, sharding, token_files, toxicity
+from webloom.llm import exact_dedup, fingerprints, licences, line_dedup, manifest, merge_replay, mixing, ngram_join, packing, sharding, token_files, toxicity
 from webloom.llm.common import count_words, documents
 from webloom.llm.token_pieces import tokenizer_path, word_pattern
 from webloom.session import ensure_checkpoint_dir
@@ -72,6 +72,10 @@ def op11_merge_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge_replay.digests(merge_replay.decode(coded, ranks))
 
 
+def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.document_manifest(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_fingerprints": op2_fingerprints,
@@ -84,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_sharding": op9_sharding,
     "op10_toxicity": op10_toxicity,
     "op11_merge_replay": op11_merge_replay,
+    "op13_manifest": op13_manifest,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
