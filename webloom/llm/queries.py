@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from webloom.llm import exact_dedup, fingerprints, licences, line_dedup, manifest, merge_replay, mixing, ngram_join, packing, sharding, token_files, toxicity
+from webloom.llm import conversation_trie, exact_dedup, fingerprints, licences, line_dedup, manifest, merge_replay, mixing, ngram_join, packing, sharding, token_files, toxicity
 from webloom.llm.common import count_words, documents
 from webloom.llm.token_pieces import tokenizer_path, word_pattern
 from webloom.session import ensure_checkpoint_dir
@@ -72,6 +72,10 @@ def op11_merge_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge_replay.digests(merge_replay.decode(coded, ranks))
 
 
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.document_manifest(documents(spark, sf_dir))
 
@@ -88,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_sharding": op9_sharding,
     "op10_toxicity": op10_toxicity,
     "op11_merge_replay": op11_merge_replay,
+    "op12_conversation_trie": op12_conversation_trie,
     "op13_manifest": op13_manifest,
 }
 
@@ -116,6 +121,39 @@ def _licence_sql() -> str:
         FROM t LEFT JOIN known ON array_to_string(lines, ' ') = known.body LEFT JOIN hits ON hits.doc_id = t.doc_id"""
 
 
+def _trie_sql() -> str:
+    """The trie by joining every node to the nodes below it, a prefix being the list of its turns' digests."""
+    crc = ("list_reduce(list_prepend(4294967295::UBIGINT, list_transform(string_split(c::VARCHAR, ''), lambda x: ord(x)::UBIGINT)), "
+           "lambda a, x: list_reduce([xor(a, x), 0, 0, 0, 0, 0, 0, 0, 0]::UBIGINT[], "
+           "lambda v, i: xor(v >> 1, (v & 1) * 3988292384::UBIGINT)))")
+    return f"""
+        WITH t AS MATERIALIZED (
+            SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), sha256(coalesce(text, ''))) - 1 AS i,
+                   sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS x, strlen(coalesce(text, '')) AS b
+            FROM conversations WHERE conv_id IS NOT NULL),
+        n AS (SELECT c, count(*) AS n FROM t GROUP BY c),
+        k AS (SELECT n.c, n.c - n.c % 5 AS base, xor({crc.replace("c::", "n.c::")}, 4294967295::UBIGINT)::BIGINT % 9 AS h,
+                     coalesce(o.n, 0) AS n_base FROM n LEFT JOIN n AS o ON o.c = n.c - n.c % 5),
+        r AS (SELECT k.c, t.i AS place, x, b FROM k JOIN t ON t.c = k.base AND t.i < k.h
+              UNION ALL
+              SELECT k.c, least(h, n_base) + t.i - h, x, b FROM k JOIN t ON t.c = k.c AND t.i >= k.h),
+        p AS MATERIALIZED (
+            SELECT c, 0::BIGINT AS depth, '' AS key, 0::BIGINT AS b, '' AS parent FROM k
+            UNION ALL
+            SELECT c, place + 1, string_agg(x, '') OVER w, b, coalesce(string_agg(x, '') OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '')
+            FROM r WINDOW w AS (PARTITION BY c ORDER BY place)),
+        nodes AS MATERIALIZED (SELECT depth, key, min(c) AS conv_id, count(*) AS n_convs, min(b) AS b, min(parent) AS parent FROM p GROUP BY depth, key),
+        kids AS (SELECT parent AS key, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY parent),
+        below AS (SELECT v.key, sum((u.n_convs - 1) * u.b)::BIGINT AS saved, sum((NOT EXISTS (FROM kids WHERE kids.key = u.key))::INT)::BIGINT AS leaves
+                  FROM nodes v JOIN nodes u ON starts_with(u.key, v.key) GROUP BY v.key),
+        ends AS (SELECT key, sha256(string_agg(c::VARCHAR, ',' ORDER BY c)) AS digest
+                 FROM (SELECT c, arg_max(key, depth) AS key FROM p GROUP BY c) GROUP BY key)
+        SELECT v.conv_id, v.depth, CASE WHEN v.depth > 0 THEN up.conv_id END AS parent_conv_id, v.n_convs, coalesce(kids.n, 0) AS n_children,
+               below.leaves AS n_leaves, below.saved AS saved_tokens, coalesce(ends.digest, sha256('')) AS ends_sha256
+        FROM nodes v JOIN below ON below.key = v.key LEFT JOIN kids ON kids.key = v.key LEFT JOIN ends ON ends.key = v.key
+        LEFT JOIN nodes up ON up.key = v.parent AND up.depth = v.depth - 1"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op1_exact_dedup": f"""
         WITH t AS (SELECT doc_id, {_LOWER} AS body FROM documents)
@@ -124,4 +162,5 @@ ORACLE_SQL: dict[str, str] = {
                doc_id = max(doc_id) OVER (PARTITION BY body) AS kept, sha256(body) AS text_sha256
         FROM t""",
     "op8_licences": _licence_sql(),
+    "op12_conversation_trie": _trie_sql(),
 }
