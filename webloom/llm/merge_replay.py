@@ -1,14 +1,15 @@
 """Byte-level BPE by replaying the merges over the words of the whole corpus.
 
 1. Every text is cut into words (the matches of the pattern that goes with the rank file). Documents are held in
-   chunks of bounded size; a chunk keeps its distinct words once and the documents as numbers of words.
-2. The words of all chunks meet by a hash of the word, so that each distinct word of the corpus is coded in one
-   place. There an inverted index leads from each mergeable pair of neighbouring tokens to the positions where it
-   stands, and the merges are replayed in the order of their ranks: a merge visits its own positions alone and
-   renews the pairs of the two neighbours it touches.
+   chunks of bounded size; a chunk keeps its distinct words once, dealt by a hash of the word into compressed
+   lists, and the documents as numbers of words.
+2. The lists of all chunks meet by that hash, so that each distinct word of the corpus is coded in one place.
+   There an inverted index leads from each mergeable pair of neighbouring tokens to the positions where it stands,
+   and the merges are replayed in the order of their ranks: a merge visits its own positions alone and renews the
+   pairs of the two neighbours it touches.
 3. The ids go back to their chunks, where documents are put together from the ids of their words.
 
-Chunks are what moves: a word travels once per chunk that holds it, never once per occurrence.
+A word travels once per chunk that holds it, never once per occurrence.
 """
 
 from __future__ import annotations
@@ -17,13 +18,14 @@ import base64
 import heapq
 import sys
 import types
+import zlib
 from collections.abc import Iterator, Sequence
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import regex
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,11 +35,13 @@ from webloom.llm.token_files import decode_ranks, encode_ranks
 from webloom.session import target_partitions
 
 #: Characters of text after which a chunk is closed (a longer text is a chunk of its own).
-CHUNK_CHARS = 1 << 21
-#: Bytes of distinct words coded together, and rows of words held for it.
-TOGETHER_BYTES, TOGETHER_ROWS = 1 << 19, 1 << 18
+CHUNK_CHARS = 1 << 23
+#: Bytes of new words coded together, words of lists held for it, and coded words remembered in a task.
+TOGETHER_BYTES, TOGETHER_WORDS, REMEMBERED = 1 << 19, 1 << 18, 200_000
 
-CHUNKS = "chunk long, doc_ids array<long>, counts array<int>, control binary, data binary, words array<string>"
+CHUNKS = ("chunk long, home int, doc_ids array<long>, counts array<int>, control binary, data binary, homes binary, "
+          "words binary")
+DOCUMENTS = -1  # the home of a chunk's documents; lists of words have homes from 0
 
 
 class Ranks:
@@ -94,7 +98,7 @@ def replay(words: Sequence[bytes], ranks: Ranks) -> list[np.ndarray]:
     index: dict[int, list[int]] = {int(first[g[0]]): g.tolist() for g in np.split(order, cuts) if len(g)}
     after, before = np.arange(1, n + 1), np.arange(-1, n - 1)
     after[ends - 1], before[ends[:-1]], before[0] = -1, -1, -1
-    token, pair, nxt, prv, shift, merged = flat.tolist(), first.tolist(), after.tolist(), before.tolist(), ranks.shift, ranks.merged
+    token, pair, nxt, prv, shift, merged_with = flat.tolist(), first.tolist(), after.tolist(), before.tolist(), ranks.shift, ranks.merged.get
     heap = sorted(index)
     while heap:
         rank = heapq.heappop(heap)
@@ -108,21 +112,18 @@ def replay(words: Sequence[bytes], ranks: Ranks) -> list[np.ndarray]:
             q = nxt[p]
             e, b = nxt[q], prv[p]
             token[p], token[q], pair[q], nxt[p] = rank, -1, -1, e
-            lowest = rank
+            new = older = -1
             if e >= 0:
                 prv[e] = p
-                pair[p] = new = merged.get((rank << shift) + token[e], -1)
+                new = merged_with((rank << shift) + token[e], -1)
                 if new >= 0:
-                    lowest = min(lowest, new)
                     _note(index, heap, new, p)
-            else:
-                pair[p] = -1
+            pair[p] = new
             if b >= 0:
-                pair[b] = new = merged.get((token[b] << shift) + rank, -1)
-                if new >= 0:
-                    lowest = min(lowest, new)
-                    _note(index, heap, new, b)
-            if lowest < rank:
+                pair[b] = older = merged_with((token[b] << shift) + rank, -1)
+                if older >= 0:
+                    _note(index, heap, older, b)
+            if 0 <= new < rank or 0 <= older < rank:
                 waiting.add(int(np.searchsorted(ends, p, "right")))
     left = np.array(token, np.int64)
     kept = left >= 0
@@ -191,75 +192,107 @@ def splitter(pattern: str) -> Splitter:
     return held.__dict__[pattern]
 
 
-def chunks(docs: DataFrame, pattern: str, chunk_chars: int = CHUNK_CHARS) -> DataFrame:
-    """``CHUNKS``: documents as numbers of their words (in the order in which the chunk first meets them, coded
-    with control bytes) and the chunk's distinct words; from ``(doc_id, text)``."""
+class _Numbers(dict):
+    """Numbers of words, in the order in which they are first asked for."""
+
+    def __missing__(self, word: str) -> int:
+        self[word] = number = len(self)
+        return number
+
+
+def _listed(parts: Sequence[bytes]) -> bytes:
+    lengths = np.fromiter(map(len, parts), "<u4", len(parts))
+    return zstandard.compress(len(parts).to_bytes(4, "little") + lengths.tobytes() + b"".join(parts))
+
+
+def _unlisted(blob: bytes) -> tuple[np.ndarray, bytes]:
+    flat = zstandard.decompress(blob)
+    n = int.from_bytes(flat[:4], "little")
+    return np.frombuffer(flat, "<u4", n, 4).astype(np.int64), flat[4 + 4 * n :]
+
+
+def chunks(docs: DataFrame, pattern: str, homes: int, chunk_chars: int = CHUNK_CHARS) -> DataFrame:
+    """``CHUNKS`` of ``(doc_id, text)``. Per chunk one row of documents, as numbers of their words (in the order in
+    which the chunk first meets them, coded with control bytes), with the home of every word; and per home a
+    row with the list of its words, in the same order."""
+    kinds = [pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int32()), *[pa.binary()] * 4]
+    names = ["chunk", "home", "doc_ids", "counts", "control", "data", "homes", "words"]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find = splitter(pattern).words
         number = TaskContext.get().partitionId() << 33
-        slots: dict[str, int] = {}
+        numbers = _Numbers()
         doc_ids: list = []
         found: list[np.ndarray] = []
         room = chunk_chars
 
-        def chunk() -> pa.RecordBatch:
-            control, data = encode_ranks(np.concatenate(found) if found else np.zeros(0, np.uint32))
-            columns = [[number], [doc_ids], [[len(f) for f in found]], [control], [data], [list(slots)]]
-            types_ = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary(), pa.binary(), pa.list_(pa.string())]
-            return pa.record_batch([pa.array(c, t) for c, t in zip(columns, types_, strict=True)],
-                                   names=["chunk", "doc_ids", "counts", "control", "data", "words"])
+        def chunk() -> Iterator[pa.RecordBatch]:
+            control, data = encode_ranks(np.concatenate(found))
+            words = [w.encode() for w in numbers]
+            home = np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % homes
+            order = np.argsort(home, kind="stable")
+            own = [(number, DOCUMENTS, doc_ids, [len(f) for f in found], zstandard.compress(control), zstandard.compress(data),
+                    zstandard.compress(home.astype("<u4").tobytes()), None)]
+            for run in np.split(order, np.flatnonzero(np.diff(home[order])) + 1):
+                if len(run):
+                    own.append((number, int(home[run[0]]), None, None, None, None, None, _listed([words[k] for k in run.tolist()])))
+            yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*own, strict=True), kinds, strict=True)], names=names)
 
         for batch in batches:
             for k in range(batch.num_rows):
                 text = batch["text"][k].as_py()
                 words = find(text)
-                look = slots.setdefault
-                found.append(np.fromiter((look(w, len(slots)) for w in words), np.uint32, len(words)))
+                found.append(np.fromiter(map(numbers.__getitem__, words), np.uint32, len(words)))
                 doc_ids.append(batch["doc_id"][k].as_py())
                 room -= len(text)
                 if room <= 0:
-                    yield chunk()
+                    yield from chunk()
                     number, room = number + 1, chunk_chars
-                    slots, doc_ids, found = {}, [], []
+                    numbers, doc_ids, found = _Numbers(), [], []
         if doc_ids:
-            yield chunk()
+            yield from chunk()
         release_memory()
 
     return docs.mapInArrow(cut, CHUNKS)
 
 
-def word_ids(words: DataFrame, ranks_path: str) -> DataFrame:
-    """``(chunk, slot, ids)`` of rows ``(chunk, slot, word)`` that come sorted by word: each distinct word of the
-    task is coded once (ids: unsigned 32-bit little-endian)."""
+def word_ids(lists: DataFrame, ranks_path: str) -> DataFrame:
+    """``(chunk, home, ids)`` of lists of words ``(chunk, home, words)``: the ids of each list's words, as a list of
+    unsigned 32-bit little-endian values. A task codes a word once, as long as it remembers it."""
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = ranks_of(ranks_path)
-        held: list[pa.RecordBatch] = []
+        known: dict[bytes, bytes] = {}
+        new: dict[bytes, None] = {}
+        held: list[tuple[int, int, list[bytes]]] = []
         size = rows = 0
 
         def coded() -> pa.RecordBatch:
-            table = pa.Table.from_batches(held).combine_chunks()
-            column = table["word"].chunk(0).dictionary_encode()
-            ids = replay([w.encode() for w in column.dictionary.to_pylist()], ranks)
-            values = pa.array([i.astype("<u4").tobytes() for i in ids], pa.binary()).take(column.indices)
-            return pa.record_batch([table["chunk"].chunk(0), table["slot"].chunk(0), values], names=["chunk", "slot", "ids"])
+            fresh = list(new)
+            known.update(zip(fresh, (i.astype("<u4").tobytes() for i in replay(fresh, ranks)), strict=True))
+            ids = [_listed([known[w] for w in words]) for _, _, words in held]
+            return pa.record_batch([pa.array([h[0] for h in held], pa.int64()), pa.array([h[1] for h in held], pa.int32()),
+                                    pa.array(ids, pa.binary())], names=["chunk", "home", "ids"])
 
         for batch in batches:
-            # Batches hold up to 10,000 rows; words longer than usual are taken a few at a time.
-            lengths = pc.binary_length(batch["word"]).to_numpy(zero_copy_only=False)
-            start = 0
-            for k in np.flatnonzero(np.diff(np.cumsum(lengths) // TOGETHER_BYTES, append=-1)).tolist():
-                held.append(batch.slice(start, k + 1 - start))
-                size, rows, start = size + int(lengths[start : k + 1].sum()), rows + k + 1 - start, k + 1
-                if size >= TOGETHER_BYTES or rows >= TOGETHER_ROWS:
+            for k in range(batch.num_rows):
+                lengths, flat = _unlisted(batch["words"][k].as_py())
+                ends = np.cumsum(lengths).tolist()
+                words = [flat[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+                held.append((batch["chunk"][k].as_py(), batch["home"][k].as_py(), words))
+                fresh = dict.fromkeys(w for w in words if w not in known and w not in new)
+                new.update(fresh)
+                size, rows = size + sum(map(len, fresh)), rows + len(words)
+                if size >= TOGETHER_BYTES or rows >= TOGETHER_WORDS:
                     yield coded()
-                    held, size, rows = [], 0, 0
+                    held, new, size, rows = [], {}, 0, 0
+                    if len(known) > REMEMBERED:
+                        known.clear()
         if held:
             yield coded()
         release_memory()
 
-    return words.mapInArrow(code, "chunk long, slot int, ids binary")
+    return lists.mapInArrow(code, "chunk long, home int, ids binary")
 
 
 def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -271,35 +304,36 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
     ignored; an empty table gives no rows.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    held = materialize(chunks(rows, pattern))
     spread = target_partitions(rows, 16 << 20)
-    words = held.select("chunk", F.posexplode("words").alias("slot", "word"))
-    coded = word_ids(words.repartition(spread, "word").sortWithinPartitions("word"), ranks_path)
-
-    def put_together(chunk: pa.Table, ids: pa.Table) -> pa.Table:
-        ids = ids.sort_by("slot")
-        of_word = ids["ids"].to_pylist()
-        lengths = np.fromiter(map(len, of_word), np.int64, len(of_word)) // 4
-        flat = np.frombuffer(b"".join(of_word), "<u4")
-        starts = np.cumsum(lengths) - lengths
-        doc_ids, counts = chunk["doc_ids"][0].as_py(), np.array(chunk["counts"][0].as_py(), np.int64)
-        slots = decode_ranks(chunk["control"][0].as_py(), chunk["data"][0].as_py(), int(counts.sum())).astype(np.int64)
+    held = materialize(chunks(rows, pattern, 4 * spread))
+    lists = held.where(F.col("home") != DOCUMENTS).select("chunk", "home", "words")
+    coded = word_ids(lists.repartition(spread, "home"), ranks_path)
+
+    def put_together(chunk: pa.Table, lists: pa.Table) -> pa.Table:
+        parts = [_unlisted(ids) for ids in lists.sort_by("home")["ids"].to_pylist()]
+        homes = np.frombuffer(zstandard.decompress(chunk["homes"][0].as_py()), "<u4")
+        order = np.argsort(homes, kind="stable")  # the words as the lists have them
+        flat = np.frombuffer(b"".join(ids for _, ids in parts), "<u4")
+        listed = np.concatenate([n for n, _ in parts]) // 4 if parts else np.zeros(0, np.int64)
+        lengths, starts = np.zeros(len(homes), np.int64), np.zeros(len(homes), np.int64)
+        lengths[order], starts[order] = listed, np.cumsum(listed) - listed
+        doc_ids, counts = chunk["doc_ids"][0].as_py(), chunk["counts"][0].as_py()
+        words = decode_ranks(*(zstandard.decompress(chunk[c][0].as_py()) for c in ("control", "data")), sum(counts))
         out, n_tokens, at = [], [], 0
-        for n in counts.tolist():
-            own = slots[at : at + n]
+        for n in counts:
+            own = words[at : at + n]
             at += n
             sizes = lengths[own]
             ends = np.cumsum(sizes)
             total = int(ends[-1]) if n else 0
-            got = flat[np.arange(total) + np.repeat(starts[own] - (ends - sizes), sizes)] if n else flat[:0]
-            out.append(got.tobytes())
+            out.append(flat[np.arange(total) + np.repeat(starts[own] - (ends - sizes), sizes)].tobytes() if n else b"")
             n_tokens.append(total)
         return pa.table({"doc_id": pa.array(doc_ids, pa.int64()), "n_tokens": pa.array(n_tokens, pa.int64()),
                          "ids": pa.array(out, pa.binary())})
 
-    # Chunks without words (empty texts) have no row of ids; the cogroup still meets them.
-    return held.select("chunk", "doc_ids", "counts", "control", "data").groupBy("chunk").cogroup(
-        coded.groupBy("chunk")).applyInArrow(put_together, "doc_id long, n_tokens long, ids binary")
+    # A chunk of empty texts has no lists; the cogroup still meets its documents.
+    texts = held.where(F.col("home") == DOCUMENTS).select("chunk", "doc_ids", "counts", "control", "data", "homes")
+    return texts.groupBy("chunk").cogroup(coded.groupBy("chunk")).applyInArrow(put_together, "doc_id long, n_tokens long, ids binary")
 
 
 def decode(coded: DataFrame, ranks_path: str) -> DataFrame:
