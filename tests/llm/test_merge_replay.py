@@ -68,8 +68,17 @@ def expected(rows, public):
 def test_messy_rows(spark, messy, rows, public, chunk_chars, monkeypatch):
     monkeypatch.setattr(M.chunks, "__defaults__", (chunk_chars,))
     coded = M.encode(messy, PATH, word_pattern())
-    got = Counter(map(tuple, M.digests(M.decode(coded, PATH)).collect()))
+    got = Counter(map(tuple, M.digests(coded, PATH).collect()))
     assert got == expected([(i, t) for i, t, _ in rows], public)
+    texts = Counter((r.doc_id, bytes(r.bytes)) for r in M.decode(coded, PATH).collect())
+    assert texts == Counter((i, (t or "").encode()) for i, t, _ in rows)
+
+
+def test_both_sides_read_one_exchange(spark, small, capsys):
+    coded = M.encode(small, PATH, word_pattern())
+    coded.collect()
+    coded.explain()
+    assert "ReusedExchange" in capsys.readouterr().out
 
 
 def test_query_over_whole_table(spark, small, public):

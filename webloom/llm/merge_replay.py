@@ -15,12 +15,12 @@ A word travels once per chunk that holds it, never once per occurrence.
 from __future__ import annotations
 
 import base64
+import hashlib
 import heapq
 import sys
 import types
 import zlib
 from collections.abc import Iterator, Sequence
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from webloom.llm.common import materialize, release_memory
+from webloom.llm.common import release_memory
 from webloom.llm.token_files import decode_ranks, encode_ranks
 from webloom.session import target_partitions
 
@@ -38,6 +38,8 @@ from webloom.session import target_partitions
 CHUNK_CHARS = 1 << 23
 #: Bytes of new words coded together, words of lists held for it, and coded words remembered in a task.
 TOGETHER_BYTES, TOGETHER_WORDS, REMEMBERED = 1 << 19, 1 << 18, 200_000
+#: Lists of words in a chunk at most; beyond it more of the corpus's words share a task.
+HOMES = 2048
 
 CHUNKS = ("chunk long, home int, doc_ids array<long>, counts array<int>, control binary, data binary, homes binary, "
           "words binary")
@@ -305,11 +307,18 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     spread = target_partitions(rows, 16 << 20)
-    held = materialize(chunks(rows, pattern, 4 * spread))
-    lists = held.where(F.col("home") != DOCUMENTS).select("chunk", "home", "words")
-    coded = word_ids(lists.repartition(spread, "home"), ranks_path)
+    # One exchange serves both sides below: no column or row is left out between it and Python, so Spark reuses it.
+    held = chunks(rows, pattern, min(4 * spread, HOMES)).repartition(spread, "chunk")
+
+    def lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.select(["chunk", "home", "words"]).filter(batch["words"].is_valid())
+
+    listed = held.mapInArrow(lists, "chunk long, home int, words binary").repartition(spread, "home")
+    coded = word_ids(listed, ranks_path)
 
     def put_together(chunk: pa.Table, lists: pa.Table) -> pa.Table:
+        chunk = chunk.filter(chunk["homes"].is_valid())
         parts = [_unlisted(ids) for ids in lists.sort_by("home")["ids"].to_pylist()]
         homes = np.frombuffer(zstandard.decompress(chunk["homes"][0].as_py()), "<u4")
         order = np.argsort(homes, kind="stable")  # the words as the lists have them
@@ -332,8 +341,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
                          "ids": pa.array(out, pa.binary())})
 
     # A chunk of empty texts has no lists; the cogroup still meets its documents.
-    texts = held.where(F.col("home") == DOCUMENTS).select("chunk", "doc_ids", "counts", "control", "data", "homes")
-    return texts.groupBy("chunk").cogroup(coded.groupBy("chunk")).applyInArrow(put_together, "doc_id long, n_tokens long, ids binary")
+    return held.groupBy("chunk").cogroup(coded.groupBy("chunk")).applyInArrow(put_together, "doc_id long, n_tokens long, ids binary")
 
 
 def decode(coded: DataFrame, ranks_path: str) -> DataFrame:
@@ -341,28 +349,35 @@ def decode(coded: DataFrame, ranks_path: str) -> DataFrame:
     schema = coded.select("*", F.lit(b"").alias("bytes")).schema
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = ranks_of(ranks_path).bytes_of.__getitem__
+        ranks = ranks_of(ranks_path)
         for batch in batches:
-            texts = [b"".join(map(table, np.frombuffer(i.as_py(), "<u4").tolist())) for i in batch["ids"]]
+            texts = [text_of(ids.as_py(), ranks) for ids in batch["ids"]]
             yield pa.record_batch([*batch.columns, pa.array(texts, pa.binary())], names=[*batch.schema.names, "bytes"])
         release_memory()
 
     return coded.mapInArrow(look_up, schema)
 
 
-def digests(decoded: DataFrame) -> DataFrame:
-    """``(doc_id, n_tokens, ids_sha256, decoded_sha256)``: SHA-256 of the decimal ids joined by commas, and of the
-    decoded bytes."""
+def text_of(ids: bytes, ranks: Ranks) -> bytes:
+    """The bytes of unsigned 32-bit little-endian ids."""
+    return b"".join(map(ranks.bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+
 
-    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        texts: dict[int, str] = {}
+def digests(coded: DataFrame, ranks_path: str) -> DataFrame:
+    """``(doc_id, n_tokens, ids_sha256, decoded_sha256)`` of ``encode``'s rows: SHA-256 of the decimal ids joined by
+    commas, and of the bytes that the ids decode to. Text by text, so that no batch is held decoded."""
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ranks = ranks_of(ranks_path)
+        decimal = [str(i) for i in range(len(ranks.bytes_of))].__getitem__
         for batch in batches:
-            rows = [np.frombuffer(i.as_py(), "<u4").tolist() for i in batch["ids"]]
-            texts.update((i, str(i)) for i in set(chain.from_iterable(rows)) if i not in texts)
-            out = [",".join(map(texts.__getitem__, row)) for row in rows]
-            yield pa.record_batch([batch["doc_id"], batch["n_tokens"], batch["bytes"], pa.array(out, pa.string())],
-                                  names=["doc_id", "n_tokens", "bytes", "decimal"])
-
-    rows = decoded.mapInArrow(joined, "doc_id long, n_tokens long, bytes binary, decimal string")
-    return rows.select("doc_id", "n_tokens", F.sha2(F.col("decimal").cast("binary"), 256).alias("ids_sha256"),
-                       F.sha2("bytes", 256).alias("decoded_sha256"))
+            ids_sha, text_sha = [], []
+            for ids in batch["ids"]:
+                own = ids.as_py()
+                ids_sha.append(hashlib.sha256(",".join(map(decimal, np.frombuffer(own, "<u4").tolist())).encode()).hexdigest())
+                text_sha.append(hashlib.sha256(text_of(own, ranks)).hexdigest())
+            yield pa.record_batch([batch["doc_id"], batch["n_tokens"], pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())],
+                                  names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        release_memory()
+
+    return coded.mapInArrow(hashed, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -69,7 +69,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_merge_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = tokenizer_path(RANK_FILE)
     coded = merge_replay.encode(documents(spark, sf_dir), ranks, word_pattern())
-    return merge_replay.digests(merge_replay.decode(coded, ranks))
+    return merge_replay.digests(coded, ranks)
 
 
 def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
