@@ -2,10 +2,32 @@
 
 from __future__ import annotations
 
-from webloom.functions import html as H
-from webloom.functions.text import STOP_WORDS
-from webloom.functions.urls import SCHEME_RE
-from webloom.operators.index import POSTING_BLOCK
+#: Fixed values and patterns, stated here on their own: nothing is taken from the engine.
+STOP_WORDS = [
+    "", "the", "of", "at", "on", "in", "is", "it",
+    "a", "b", "c", "d", "e", "f", "g", "h", "i", "j",
+    "k", "l", "m", "n", "o", "p", "q", "r", "s", "t",
+    "u", "v", "w", "x", "y", "z", "and", "or",
+]
+POSTING_BLOCK = 4096
+FONT_WEIGHTS = {"b": 2, "strong": 2, "i": 1, "em": 1, "h1": 7, "h2": 6, "h3": 5, "h4": 4, "h5": 3, "title": 7}
+HEADINGS = ["h1", "h2", "h3", "h4", "h5", "title"]
+INLINE = ["b", "strong", "i", "em"]
+BLOCKS = ["p", "div", "li", "td", "h1", "h2", "h3", "h4", "h5", "h6", "article"]
+DROPPED = ["script", "iframe", "noscript", "object", "svg", "canvas", "applet", "frameset", "textarea", "style", "map"]
+SCHEME_RE = r"^([a-zA-Z][a-zA-Z0-9+.\-]*):"
+VALUE = r"""(?:"[^"]*"|'[^']*'|[^\s"'>=])"""
+REST = rf"""[^>=]*(?:=\s*(?:{VALUE}[^>=]*)?)*>"""
+TAG = rf"<(?:[a-zA-Z]|[/!?]){REST}|<(?:[a-zA-Z]|[/!?])[^>]*>"
+COMMENT = r"<!--(?:.*?-->|.*\z)"
+BODY_RE = rf"(?is)<html\b{REST}(.*)\z"
+CUT_RE = f"(?is)({COMMENT})|" + "|".join(rf"<{t}\b{REST}.*?</{t}\s*>" for t in DROPPED) + f"|({TAG})"
+EVENT_RE = f"(?s){COMMENT}|{TAG}|[^<]*(?:<+[^<a-zA-Z/!?][^<]*)+|[^<]+"
+COMMENT_RE = r"(?s)^<!--(.*?)(?:-->)?\z"
+TAG_NAME_RE = r"^</?\s*([a-zA-Z][a-zA-Z0-9]*)"
+TITLE_RE = r"(?is)<title\b[^>]*>(.*?)</title\s*>"
+HREF_RE = (r"""(?is)^<a(?:\s+[^\s=>]+(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'>][^\s>]*))?)*"""
+           r"""\s+href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
 
 WS = r"[ \t\n\r\f\x0B]"
 STOP_SQL = ", ".join("'" + w + "'" for w in STOP_WORDS)
@@ -20,7 +42,7 @@ def q(s: str) -> str:
 
 
 def body_sql(html: str = "html") -> str:
-    return (f"regexp_replace(regexp_extract({html}, {q(H.BODY_RE)}, 1), {q(H.IGNORED_RE)}, '', 'g')")
+    return (f"regexp_replace(regexp_extract({html}, {q(BODY_RE)}, 1), {q(CUT_RE)}, '\\1\\2', 'g')")
 
 
 def normalize_sql(u: str) -> str:
@@ -86,18 +108,16 @@ def resolve_ctes(src: str, base: str, ref: str, out: str, name: str) -> list[str
 
 EVENTS = f"""pg_events AS (
   SELECT page_id, (generate_subscripts(ev, 1) - 1)::INTEGER AS pos, unnest(ev) AS event
-  FROM (SELECT page_id, regexp_extract_all({body_sql()}, {q(H.EVENT_RE)}, 0) AS ev FROM pages)
+  FROM (SELECT page_id, regexp_extract_all({body_sql()}, {q(EVENT_RE)}, 0) AS ev FROM pages)
 )"""
 
 EVENTS_TYPED = f"""pg_ev AS (
-  SELECT page_id, pos,
-         CASE WHEN starts_with(event, '<!--') THEN 'comment' WHEN starts_with(event, '<') THEN 'tag' ELSE 'text' END AS kind,
-         CASE WHEN starts_with(event, '<') AND NOT starts_with(event, '<!--')
-              THEN lower(regexp_extract(event, {q(H.TAG_NAME_RE)}, 1)) END AS tag,
-         CASE WHEN starts_with(event, '<') AND NOT starts_with(event, '<!--') THEN starts_with(event, '</') END AS closing,
-         CASE WHEN starts_with(event, '<!--') THEN regexp_extract(event, {q(H.COMMENT_RE)}, 1)
-              WHEN starts_with(event, '<') THEN NULL ELSE event END AS text
-  FROM pg_events
+  SELECT page_id, pos, kind,
+         CASE WHEN kind = 'tag' THEN lower(regexp_extract(event, {q(TAG_NAME_RE)}, 1)) END AS tag,
+         CASE WHEN kind = 'tag' THEN starts_with(event, '</') END AS closing,
+         CASE kind WHEN 'comment' THEN regexp_extract(event, {q(COMMENT_RE)}, 1) WHEN 'text' THEN event END AS text
+  FROM (SELECT *, CASE WHEN starts_with(event, '<!--') THEN 'comment'
+                       WHEN regexp_matches(event, '^<[a-zA-Z/!?]') THEN 'tag' ELSE 'text' END AS kind FROM pg_events)
 )"""
 
 RUNS = "pg_runs AS (SELECT page_id, pos, text FROM pg_ev WHERE kind IN ('text', 'comment'))"
@@ -111,10 +131,10 @@ PAGE_TOKS = f"""pg_toks AS (
 
 ANCHORS = f"""pg_anchors AS (
   SELECT e.page_id, e.pos, p.url,
-         regexp_extract(e.event, {q(H.HREF_RE)}, 1) || regexp_extract(e.event, {q(H.HREF_RE)}, 2)
-           || regexp_extract(e.event, {q(H.HREF_RE)}, 3) AS href
+         regexp_extract(e.event, {q(HREF_RE)}, 1) || regexp_extract(e.event, {q(HREF_RE)}, 2)
+           || regexp_extract(e.event, {q(HREF_RE)}, 3) AS href
   FROM pg_events e JOIN pages p ON p.page_id = e.page_id
-  WHERE lower(regexp_extract(e.event, {q(H.TAG_NAME_RE)}, 1)) = 'a' AND NOT starts_with(e.event, '</')
+  WHERE lower(regexp_extract(e.event, {q(TAG_NAME_RE)}, 1)) = 'a' AND NOT starts_with(e.event, '</')
 )"""
 
 LINK_CTES = [EVENTS, ANCHORS, *resolve_ctes("pg_anchors", "url", "href", "to_url", "pg_links0"),
@@ -138,9 +158,9 @@ PAGE_INDEX_CTES = [*LINK_CTES, EVENTS_TYPED, RUNS, PAGE_TOKS, CANON, DOCIDX,
 
 
 def font_ctes() -> list[str]:
-    heading = " ".join(f"WHEN '{t}' THEN {H.FONT_WEIGHTS[t]}" for t in sorted(H.HEADING_TAGS))
-    inline = " ".join(f"WHEN '{t}' THEN {H.FONT_WEIGHTS[t]}" for t in sorted(H.INLINE_TAGS))
-    blocks = ", ".join(f"'{t}'" for t in H.BLOCK_TAGS)
+    heading = " ".join(f"WHEN '{t}' THEN {FONT_WEIGHTS[t]}" for t in HEADINGS)
+    inline = " ".join(f"WHEN '{t}' THEN {FONT_WEIGHTS[t]}" for t in INLINE)
+    blocks = ", ".join(f"'{t}'" for t in BLOCKS)
     upto = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
     return [
         f"""pg_fd AS (SELECT page_id, pos, kind,
@@ -165,11 +185,11 @@ def build(pagerank_ctes) -> dict[str, str]:
     sql["page_events"] = _with(EVENTS, EVENTS_TYPED) + "SELECT page_id, pos, kind, tag, closing, text FROM pg_ev"
     sql["strip_ignored"] = f"SELECT page_id, {body_sql()} AS body FROM pages"
     sql["text_runs"] = _with(EVENTS, EVENTS_TYPED, RUNS) + "SELECT page_id, pos, text FROM pg_runs"
-    title = (f"coalesce(regexp_replace(regexp_replace((regexp_extract_all(body, {q(H.TITLE_RE)}, 1))[-1], "
+    title = (f"coalesce(regexp_replace(regexp_replace((regexp_extract_all(body, {q(TITLE_RE)}, 1))[-1], "
              f"'<[^>]*>', ' ', 'g'), '^{WS}+|{WS}+$', '', 'g'), '')")
-    texts = (f"list_transform(list_filter(regexp_extract_all(body, {q(H.EVENT_RE)}, 0), "
-             f"lambda e: NOT starts_with(e, '<') OR starts_with(e, '<!--')), lambda e: CASE WHEN starts_with(e, '<!--') "
-             f"THEN regexp_extract(e, {q(H.COMMENT_RE)}, 1) ELSE e END)")
+    texts = (f"list_transform(list_filter(regexp_extract_all(body, {q(EVENT_RE)}, 0), "
+             f"lambda e: NOT regexp_matches(e, '^<[a-zA-Z/!?]') OR starts_with(e, '<!--')), lambda e: CASE WHEN starts_with(e, '<!--') "
+             f"THEN regexp_extract(e, {q(COMMENT_RE)}, 1) ELSE e END)")
     desc = (f"array_to_string(list_transform(list_filter({texts}, lambda t: regexp_replace(t, '{WS}+', '', 'g') <> '')[1:3], "
             f"lambda t: lower(t)), '')")
     sql["page_meta"] = (f"SELECT page_id, {title} AS title, {desc} AS description "
