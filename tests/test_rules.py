@@ -1,7 +1,10 @@
 """Rule tests: stop words, tokens, query normalisation, spelling, history fold, PageRank, sinks."""
 
+import random
 import uuid
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from webloom.functions.text import STOP_WORDS, normalize_query
@@ -40,7 +43,7 @@ def _brute_correct(word, dictionary):
     best = None
     for w, df in dictionary.items():
         d = lev(word, w)
-        if d <= 2:
+        if d <= 2 and d < len(word):
             key = (d, -df, w)
             best = key if best is None or key < best else best
     return best[2] if best else word
@@ -57,6 +60,21 @@ def test_spelling_matches_brute_force(spark):
     assert got == want
 
 
+def test_spelling_of_random_words_of_every_length(spark):
+    r = random.Random(7)
+    word = lambda n: "".join(r.choice("abcd") for _ in range(n))
+    dictionary = {word(n): r.randint(1, 4) for n in [1, 2, 2, 3, 3, 4, 4, 5, 5, 6, 6, 7, 8, 9, 12, 20, 33] for _ in range(6)}
+    words = {word(r.randint(0, 9)) for _ in range(150)}
+    for w in list(dictionary):
+        for _ in range(2):
+            cut = r.randint(0, len(w))
+            words.add(w[:cut] + r.choice(["", "x", "xy", "é"]) + w[cut + r.randint(0, 2):])
+    q = spark.createDataFrame([(w,) for w in words], "word string")
+    d = spark.createDataFrame(list(dictionary.items()), "word string, df long")
+    got = {x.word: x.correction for x in spell.correct_words(q, d).collect()}
+    assert got == {w: _brute_correct(w, dictionary) for w in words}
+
+
 def test_recent_words_queue_rule(spark):
     log = spark.createDataFrame(
         [(1, 0, "a b c"), (1, 1, "a d e f g h i j k"), (1, 2, "l a"), (2, 0, "x x y")],
@@ -152,6 +170,9 @@ def test_page_rank_converged_reaches_fixed_point(spark):
     got = {r.doc_id: r.score for r in graph.page_rank(df, tol=1e-12, max_iterations=400).collect()}
     want = _py_pagerank(edges, sweeps=400)
     assert all(abs(got[k] - want[k]) < 1e-9 for k in want)
+    with pytest.raises(graph.NotConverged) as stopped:
+        graph.page_rank(df, tol=1e-12, max_iterations=10)
+    assert stopped.value.sweeps == 10 and 0 < stopped.value.residual < 1
 
 
 def _py_suggestions(queries, succeeded, shown=5):

@@ -21,13 +21,15 @@ once per salt, so no task carries a hot source's whole edge list.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from webloom.operators.distribute import row_numbers
 from webloom.operators.index import posting_blocks
-from webloom.session import bucketed, cut_lineage, materialize, target_partitions
+from webloom.session import bucketed, cut_lineage, materialize, target_partitions, write_table
 
 DAMPING = 0.85
 
@@ -90,43 +92,44 @@ def page_rank(
     """``(doc_id, score)`` for every document with out-links.
 
     ``tol=None`` runs exactly ``num_iterations`` sweeps (the reference's
-    contract). With ``tol`` set, sweeps continue until the largest change is
-    below ``tol`` or ``max_iterations`` is reached (converged mode).
+    contract). With ``tol`` set, sweeps continue until the sum of changes in a
+    sweep is below ``tol`` times the sum of scores, whatever the graph's size;
+    ``NotConverged`` with the last such share is raised when
+    ``max_iterations`` sweeps do not get there.
     """
     spark = edges.sparkSession
     e = edges.select(F.col("from_id").cast("bigint"), F.col("to_id").cast("bigint"))
 
     # One pass over the input: distinct links with their multiplicity. Out-degree
     # counts duplicates (sum of multiplicities); in-links use distinct links.
-    multi = materialize(e.groupBy("from_id", "to_id").agg(F.count(F.lit(1)).alias("_m")))
-    # Buckets of the edge and rank tables and the sums shuffle must share one
-    # partition count to stay co-partitioned: size it from the link table
-    # (file-based estimate) and use it for the shuffles of the sweeps only.
-    n_parts = target_partitions(multi)
-    # The sweep plans are fixed (hinted co-partitioned joins, fixed partition
-    # count), so adaptive re-planning after every stage only adds latency.
-    scoped = {"spark.sql.shuffle.partitions": str(n_parts), "spark.sql.adaptive.enabled": "false"}
-    previous = {k: spark.conf.get(k, None) for k in scoped}
-    tables_before = {t.name for t in spark.catalog.listTables()}
-    for k, v in scoped.items():
-        spark.conf.set(k, v)
+    path = write_table(e.groupBy("from_id", "to_id").agg(F.count(F.lit(1)).alias("_m")))
+    # The sweeps run in a session of their own: buckets of the edge and rank tables and the sums'
+    # shuffle share one partition count, sized from the link table, and the plans are fixed
+    # (co-partitioned joins), so adaptive re-planning would only add latency. The caller's settings stay.
+    own = spark.newSession()
+    n_parts = target_partitions(spark.read.parquet(path))
+    own.conf.set("spark.sql.shuffle.partitions", str(n_parts))
+    own.conf.set("spark.sql.adaptive.enabled", "false")
+    made: list[str] = []
     try:
-        return _page_rank(spark, multi, n_parts, num_iterations, initial_pr, damping, tol, max_iterations,
-                          checkpoint_every)
+        ranks = _page_rank(own, own.read.parquet(path), n_parts, num_iterations, initial_pr, damping, tol, max_iterations,
+                           checkpoint_every, made)
+        return spark.read.parquet(write_table(ranks))
     finally:
-        for k, v in previous.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
-        # The result is a table of its own; unregister the bucketed work tables
-        # (external tables: only the catalog entries go).
-        for t in spark.catalog.listTables():
-            if t.name.startswith("webloom_") and t.name not in tables_before and t.tableType != "TEMPORARY":
-                spark.sql(f"DROP TABLE IF EXISTS `{t.name}`")
-
-
-def _page_rank(spark, multi, n_parts, num_iterations, initial_pr, damping, tol, max_iterations, checkpoint_every):
+        # Unregister the work tables made here (external tables: only the catalog entries go).
+        for name in made:
+            own.sql(f"DROP TABLE IF EXISTS `{name}`")
+
+
+class NotConverged(RuntimeError):
+    """The sweeps ended before the scores settled; ``residual`` is the last sweep's share of change."""
+
+    def __init__(self, residual: float, sweeps: int) -> None:
+        super().__init__(f"scores still change by {residual:.3g} of their sum after {sweeps} sweeps")
+        self.residual, self.sweeps = residual, sweeps
+
+
+def _page_rank(spark, multi, n_parts, num_iterations, initial_pr, damping, tol, max_iterations, checkpoint_every, made):
     links = multi.select("from_id", "to_id")
     per_src = materialize(
         multi.groupBy("from_id").agg(F.sum("_m").cast("double").alias("outdeg"), F.count(F.lit(1)).alias("_k"))
@@ -146,32 +149,33 @@ def _page_rank(spark, multi, n_parts, num_iterations, initial_pr, damping, tol,
 
     if hot.count() == 0:
         ranks = _sweeps_copartitioned(links, sources, n_parts, sweeps, initial_pr, damping, lead, tol,
-                                      checkpoint_every)
+                                      checkpoint_every, made)
     else:
         ranks = _sweeps_salted(links, sources, F.broadcast(hot), n_parts, sweeps, initial_pr, damping, lead, tol,
-                               checkpoint_every)
-    # Run the sweeps here, under this partition count, and hand back a table.
-    return materialize(ranks.select(F.col("from_id").alias("doc_id"), "score"))
+                               checkpoint_every, made)
+    return ranks.select(F.col("from_id").alias("doc_id"), "score")
 
 
-def _converged(new_ranks: DataFrame, old_ranks: DataFrame, tol: float) -> bool:
-    delta = (
+def _residual(new_ranks: DataFrame, old_ranks: DataFrame) -> float:
+    """The sum of a sweep's changes, as a share of the sum of scores."""
+    sums = (
         new_ranks.alias("n").join(old_ranks.alias("o"), "from_id")
-        .agg(F.max(F.abs(F.col("n.score") - F.col("o.score"))))
-        .first()[0]
+        .agg(F.sum(F.abs(F.col("n.score") - F.col("o.score"))).alias("change"), F.sum("n.score").alias("all"))
+        .first()
     )
-    return delta is None or delta < tol
+    return sums["change"] / sums["all"] if sums["all"] else 0.0
 
 
-def _sweeps_copartitioned(links, sources, n_parts, sweeps, initial_pr, damping, lead, tol, checkpoint_every):
+def _sweeps_copartitioned(links, sources, n_parts, sweeps, initial_pr, damping, lead, tol, checkpoint_every, made):
     """No hot source: edges, sources and rank snapshots are all bucketed by ``from_id``.
 
     Every join is then co-partitioned (shuffled-hash joins on bucketed sides),
     so a sweep has exactly one exchange: the partially aggregated sums by target.
     """
-    edges = bucketed(links.select("from_id", "to_id"), n_parts, "from_id")
-    srcs = bucketed(sources.select("from_id", "outdeg"), n_parts, "from_id")
+    edges = bucketed(links.select("from_id", "to_id"), n_parts, "from_id", names=made)
+    srcs = bucketed(sources.select("from_id", "outdeg"), n_parts, "from_id", names=made)
     ranks = srcs.withColumn("score", F.lit(float(initial_pr)))
+    residual = math.inf
     for i in range(sweeps):
         contrib = ranks.select("from_id", (F.col("score") / F.col("outdeg")).alias("c"))
         sums = (
@@ -185,22 +189,24 @@ def _sweeps_copartitioned(links, sources, n_parts, sweeps, initial_pr, damping,
         last = i + 1 == sweeps
         if tol is not None and (i + 2) % checkpoint_every == 0 and not last:
             # Snapshot sweep k-1 so the check after sweep k compares consecutive sweeps.
-            new_ranks = bucketed(new_ranks, n_parts, "from_id")
+            new_ranks = bucketed(new_ranks, n_parts, "from_id", names=made)
         elif tol is not None and (i + 1) % checkpoint_every == 0:
-            new_ranks = bucketed(new_ranks, n_parts, "from_id")
-            done = _converged(new_ranks, ranks, tol)
+            new_ranks = bucketed(new_ranks, n_parts, "from_id", names=made)
+            residual = _residual(new_ranks, ranks)
             ranks = new_ranks
-            if done:
-                break
+            if residual < tol:
+                return ranks
             continue
         elif tol is None and (i + 1) % checkpoint_every == 0 and not last:
             # Cut lineage with a bucketed snapshot, which keeps the co-partitioning.
-            new_ranks = bucketed(new_ranks, n_parts, "from_id")
+            new_ranks = bucketed(new_ranks, n_parts, "from_id", names=made)
         ranks = new_ranks
+    if tol is not None:
+        raise NotConverged(residual, sweeps)
     return ranks
 
 
-def _sweeps_salted(links, sources, hot, n_parts, sweeps, initial_pr, damping, lead, tol, checkpoint_every):
+def _sweeps_salted(links, sources, hot, n_parts, sweeps, initial_pr, damping, lead, tol, checkpoint_every, made):
     """Hot sources present: their edges are salted over all partitions by target and
     their contribution rows replicated once per salt; edges are bucketed by (from_id, salt)."""
     salted = links.join(hot, "from_id", "left").select(
@@ -208,14 +214,15 @@ def _sweeps_salted(links, sources, hot, n_parts, sweeps, initial_pr, damping, le
         "to_id",
         F.when(F.col("hot"), F.pmod(F.xxhash64("to_id"), F.lit(n_parts))).otherwise(F.lit(0)).cast("int").alias("salt"),
     )
-    salted = bucketed(salted, n_parts, "from_id", "salt")
+    salted = bucketed(salted, n_parts, "from_id", "salt", names=made)
     srcs = sources.join(hot, "from_id", "left").select(
         "from_id", "outdeg", F.coalesce(F.col("hot"), F.lit(False)).alias("hot")
     )
-    srcs = bucketed(srcs, n_parts, "from_id")
+    srcs = bucketed(srcs, n_parts, "from_id", names=made)
     all_salts = F.sequence(F.lit(0), F.lit(n_parts - 1))
 
     ranks = srcs.withColumn("score", F.lit(float(initial_pr)))
+    residual = math.inf
     for i in range(sweeps):
         contrib = ranks.select(
             "from_id",
@@ -236,20 +243,22 @@ def _sweeps_salted(links, sources, hot, n_parts, sweeps, initial_pr, damping, le
         )
         if tol is not None:
             new_ranks = cut_lineage(new_ranks)
-            done = _converged(new_ranks, ranks, tol)
+            residual = _residual(new_ranks, ranks)
             ranks = new_ranks
-            if done:
-                break
+            if residual < tol:
+                return ranks
         else:
             ranks = new_ranks
             if (i + 1) % checkpoint_every == 0 and i + 1 < sweeps:
                 ranks = cut_lineage(ranks)
+    if tol is not None:
+        raise NotConverged(residual, sweeps)
     return ranks
 
 
-def rank_report(ranks: DataFrame, doc_index: DataFrame, digits: int = 9) -> DataFrame:
-    """``(rank, url, score)``, score (rounded to ``digits``) descending, ties by url."""
-    joined = ranks.join(doc_index, "doc_id").select("url", F.round("score", digits).alias("score"))
+def rank_report(ranks: DataFrame, doc_index: DataFrame) -> DataFrame:
+    """``(rank, url, score)``, score descending (as it is, not rounded), ties by url."""
+    joined = ranks.join(doc_index, "doc_id").select("url", "score")
     return row_numbers(joined, order_by=[F.col("score").desc(), F.col("url")], out="rank").select(
         "rank", "url", "score"
     )

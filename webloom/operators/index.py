@@ -18,6 +18,8 @@ from webloom.session import materialize
 
 # Documents per posting block: a block holds at most this many doc ids.
 POSTING_BLOCK = 4096
+# Places of a document per block of positions.
+POSITION_BLOCK = 1024
 
 
 def tokens(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -79,15 +81,34 @@ def inverted_index_from_pairs(all_pairs: DataFrame) -> tuple[DataFrame, DataFram
     return pairs.join(lex, "word").select("word_id", "doc_id"), lex
 
 
-def raw_postings(toks: DataFrame, lexicon: DataFrame) -> DataFrame:
-    """A3: one row per occurrence ``(word_id, doc_id, pos)`` (no key, duplicates kept)."""
-    return toks.join(lexicon, "word").select("word_id", "doc_id", "pos")
+def position_blocks(toks: DataFrame, block: int = POSITION_BLOCK) -> tuple[DataFrame, DataFrame]:
+    """A3: every occurrence, in blocks ``(word_id, doc_id, block, gaps)``, and the lexicon they refer to.
 
-
-def term_frequency(toks: DataFrame, lexicon: DataFrame) -> DataFrame:
-    """A3 aggregated: ``(word_id, doc_id, tf)`` occurrences per word and document."""
-    tf = toks.groupBy("word", "doc_id").agg(F.count(F.lit(1)).alias("tf"))
-    return tf.join(lexicon, "word").select("word_id", "doc_id", F.col("tf").cast("bigint").alias("tf"))
+    A block covers ``block`` consecutive places of one document, so no row exceeds that, however long the document.
+    ``gaps`` are the distances between the word's places, the first one from the block's start. The corpus is
+    tokenised once; places of a word are put together before the shuffle where a task holds them.
+    """
+    held = materialize(
+        toks.groupBy("word", "doc_id", F.floor(F.col("pos") / F.lit(block)).cast("int").alias("block"))
+        .agg(F.array_sort(F.collect_list(F.col("pos").cast("int"))).alias("places")))
+    gaps = F.transform("places", lambda p, i: p - F.when(i == 0, F.col("block") * F.lit(block)).otherwise(
+        F.element_at("places", F.greatest(i, F.lit(1)))))
+    lex = build_lexicon(held)
+    return held.select("word", "doc_id", "block", gaps.alias("gaps")).join(lex, "word").select(
+        "word_id", "doc_id", "block", "gaps"), lex
+
+
+def raw_postings(blocks: DataFrame, block: int = POSITION_BLOCK) -> DataFrame:
+    """A3: one row per occurrence ``(word_id, doc_id, pos)`` from blocks (no key, duplicates kept)."""
+    start = F.array().cast("array<int>")
+    places = F.aggregate("gaps", start, lambda done, gap: F.array_append(
+        done, gap + F.coalesce(F.try_element_at(done, F.lit(-1)), F.col("block") * F.lit(block))))
+    return blocks.select("word_id", "doc_id", F.explode(places).alias("pos"))
+
+
+def term_frequency(blocks: DataFrame) -> DataFrame:
+    """A3 aggregated: ``(word_id, doc_id, tf)`` occurrences per word and document, from the blocks' sizes."""
+    return blocks.groupBy("word_id", "doc_id").agg(F.sum(F.size("gaps")).cast("bigint").alias("tf"))
 
 
 def posting_blocks(inv: DataFrame, key: str = "word_id", value: str = "doc_id",

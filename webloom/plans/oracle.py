@@ -8,10 +8,9 @@ strings). Regexes stay in the subset shared by Java and RE2.
 
 from __future__ import annotations
 
-from webloom.functions.text import STOP_WORDS
-from webloom.operators.graph import DAMPING
-from webloom.operators.index import POSTING_BLOCK
+from webloom.plans.oracle_pages import POSTING_BLOCK, STOP_WORDS
 
+DAMPING = 0.85  # fixed value
 WS = r"[ \t\n\r\f\x0B]"
 STOP_SQL = ", ".join("'" + w + "'" for w in STOP_WORDS)
 
@@ -91,7 +90,7 @@ TERM_HITS = """term_hits AS (
 
 RESULTS = """results AS (
   SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id)::BIGINT AS rank, doc_id, score
-  FROM (SELECT query_id, doc_id, round(sum(score), 9) AS score FROM term_hits GROUP BY query_id, doc_id)
+  FROM (SELECT query_id, doc_id, count(*) * max(score) AS score FROM term_hits GROUP BY query_id, doc_id)
 )"""
 
 
@@ -108,7 +107,9 @@ SELECT d.doc_id, coalesce(c.n, 0)::BIGINT AS num_words
 FROM documents d LEFT JOIN (SELECT doc_id, count(*) AS n FROM doc_toks GROUP BY doc_id) c ON c.doc_id = d.doc_id"""
     sql["lexicon"] = _with(SPLIT_DOCS, ALL_DOC_TOKS, DOC_TOKS, LEX) + "SELECT word_id, word FROM lex"
     sql["inverted_index"] = _with(*DOC_INDEX_CTES) + "SELECT word_id, doc_id FROM inv"
-    sql["raw_postings"] = _with(*DOC_INDEX_CTES) + """
+    sql["raw_postings"] = _with(SPLIT_DOCS, ALL_DOC_TOKS, DOC_TOKS, LEX) + """
+SELECT l.word_id, t.doc_id, t.pos FROM doc_toks t JOIN lex l ON l.word = t.word"""
+    sql["term_frequency"] = _with(*DOC_INDEX_CTES) + """
 SELECT l.word_id, t.doc_id, count(*)::BIGINT AS tf FROM doc_toks t JOIN lex l ON l.word = t.word GROUP BY l.word_id, t.doc_id"""
     sql["inverted_index_sets"] = _with(*DOC_INDEX_CTES) + f"""
 SELECT word_id, (doc_id // {POSTING_BLOCK})::BIGINT AS block_no, count(*)::BIGINT AS n_docs,
@@ -128,9 +129,9 @@ FROM (SELECT DISTINCT to_id, from_id FROM chain) GROUP BY to_id, from_id // {POS
     search_ctes = (*DOC_INDEX_CTES, CHAIN, *pagerank_ctes(), QUERIES, TERMS, TERM_HITS)
     sql["term_lookup"] = _with(*search_ctes) + \
         "SELECT query_id, pos, word, doc_id, round(score, 9) AS score FROM term_hits"
-    sql["search"] = _with(*search_ctes, RESULTS) + "SELECT query_id, rank, doc_id, score FROM results"
+    sql["search"] = _with(*search_ctes, RESULTS) + "SELECT query_id, rank, doc_id, round(score, 9) AS score FROM results"
     sql["search_page"] = _with(*search_ctes, RESULTS) + """
-SELECT r.query_id, 2 AS page_no, t.total_pages, r.rank, r.doc_id, r.score
+SELECT r.query_id, 2 AS page_no, t.total_pages, r.rank, r.doc_id, round(r.score, 9) AS score
 FROM results r JOIN (SELECT query_id, ceil(count(*) / 5.0)::BIGINT AS total_pages FROM results GROUP BY query_id) t
   ON t.query_id = r.query_id
 WHERE r.rank BETWEEN 6 AND 10"""
@@ -141,8 +142,20 @@ en_lex AS (
     SELECT DISTINCT t.word FROM doc_toks t JOIN documents d ON d.doc_id = t.doc_id WHERE d.lang = 'en'))
 SELECT word_id, word FROM en_lex
 UNION ALL
-SELECT word_id, word FROM lex
-WHERE word_id NOT IN (SELECT word_id FROM en_lex) AND word NOT IN (SELECT word FROM en_lex)"""
+SELECT (SELECT max(word_id) FROM en_lex) + row_number() OVER (ORDER BY word) AS word_id, word FROM lex
+WHERE word NOT IN (SELECT word FROM en_lex)"""
+    # Fixed sweeps far past the tolerance, one recursion step each.
+    sql["page_rank_converged"] = _with(CHAIN, *pagerank_ctes(sweeps=1)[:3]).replace("WITH ", "WITH RECURSIVE ", 1).rstrip() + f""",
+pr_i AS (
+  SELECT 0 AS i, id, 1.0::DOUBLE AS score FROM pr_od
+  UNION ALL
+  SELECT s.i, o.id, (1.0::DOUBLE - {DAMPING!r}::DOUBLE) / (SELECT n FROM pr_n) + {DAMPING!r}::DOUBLE * s.t
+  FROM pr_od o JOIN (
+    SELECT r.i + 1 AS i, o2.id, sum(CASE WHEN l.to_id IS NULL THEN 0.0 ELSE r.score / od.outdeg END) AS t
+    FROM pr_od o2 LEFT JOIN pr_links l ON l.to_id = o2.id AND l.from_id IN (SELECT id FROM pr_od)
+    JOIN pr_i r ON r.id = coalesce(l.from_id, o2.id) JOIN pr_od od ON od.id = r.id
+    WHERE r.i < 300 GROUP BY r.i, o2.id) s ON s.id = o.id)
+SELECT id AS doc_id, round(score, 9) AS score FROM pr_i WHERE i = 300"""
     return sql
 
 

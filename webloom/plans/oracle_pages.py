@@ -213,6 +213,17 @@ GROUP BY l.word, i.doc_id // {POSTING_BLOCK}"""
 SELECT t.page_id, t.pos, t.tpos, l.word_id, f.font
 FROM pg_toks t JOIN pg_font f ON f.page_id = t.page_id AND f.pos = t.pos JOIN pg_lex l ON l.word = t.word"""
     sql["rank_report"] = _with(*PAGE_INDEX_CTES, *pagerank_ctes(edges="pg_edges")) + """
-SELECT row_number() OVER (ORDER BY round(p.score, 9) DESC, d.url)::BIGINT AS rank, d.url, round(p.score, 9) AS score
+SELECT row_number() OVER (ORDER BY p.score DESC, d.url)::BIGINT AS rank, d.url, round(p.score, 9) AS score
 FROM pr p JOIN pg_docidx d ON d.doc_id = p.doc_id"""
+    sql["page_search"] = _with(
+        *PAGE_INDEX_CTES, *pagerank_ctes(edges="pg_edges"),
+        f"""terms AS (
+  SELECT item_id AS query_id, lower(unnest(string_split_regex(regexp_replace(text, '^{WS}+|{WS}+$', '', 'g'), '{WS}+'))) AS word
+  FROM benchmark)""",
+        """scored AS (
+  SELECT t.query_id, i.doc_id, count(*) * max(p.score) AS score
+  FROM terms t JOIN pg_lex l ON l.word = t.word JOIN pg_inv i ON i.word_id = l.word_id JOIN pr p ON p.doc_id = i.doc_id
+  WHERE t.word <> '' GROUP BY t.query_id, i.doc_id)""") + """
+SELECT s.query_id, row_number() OVER (PARTITION BY s.query_id ORDER BY s.score DESC, s.doc_id)::BIGINT AS rank, d.url, round(s.score, 9) AS score
+FROM scored s JOIN pg_docidx d ON d.doc_id = s.doc_id"""
     return sql

@@ -20,9 +20,14 @@ MISSPELT = """misspelt AS (
   FROM queries
 )"""
 
-SESSION = """session AS (
-  SELECT query_id * 2 AS query_id, keywords FROM queries
-  UNION ALL SELECT query_id * 2 + 1 AS query_id, keywords FROM misspelt
+SESSION = """long_words AS (
+  SELECT query_id, coalesce(list_filter(string_split(keywords, ' '), lambda w: length(w) > 4)[1], '') AS word FROM queries
+),
+session AS (
+  SELECT query_id * 4 AS query_id, keywords FROM queries
+  UNION ALL SELECT query_id * 4 + 1, keywords FROM misspelt
+  UNION ALL SELECT query_id * 4 + 2, CASE WHEN word = '' THEN '' ELSE substring(word, 1, 3) || 'qz' || substring(word, 4) END FROM long_words
+  UNION ALL SELECT query_id * 4 + 3, CASE WHEN word = '' THEN '' ELSE substring(word, 1, 1) || 'qzqzqzq' || right(word, 1) END FROM long_words
 )"""
 
 DICT = """dict AS (SELECT word, count(DISTINCT doc_id)::BIGINT AS df FROM all_doc_toks WHERE word <> '' GROUP BY word)"""
@@ -40,7 +45,7 @@ def search_ctes(src: str, p: str) -> list[str]:
   WHERE t.word <> '')""",
         f"""{p}_results AS (
   SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id)::BIGINT AS rank, doc_id, score
-  FROM (SELECT query_id, doc_id, round(sum(score), 9) AS score FROM {p}_hits GROUP BY query_id, doc_id))""",
+  FROM (SELECT query_id, doc_id, count(*) * max(score) AS score FROM {p}_hits GROUP BY query_id, doc_id))""",
     ]
 
 
@@ -52,11 +57,11 @@ def spell_ctes(src: str, p: str) -> list[str]:
   FROM (SELECT query_id, string_split({norm('keywords')}, ' ') AS ws FROM {src}))""",
         f"""{p}_q AS (SELECT DISTINCT word AS q, regexp_replace(word, '[^\\x00-\\x7F]', '~', 'g') AS qa FROM {p}_words)""",
         f"""{p}_cand AS (
-  SELECT q.q, d.word, d.df, levenshtein(q.qa, d.word) AS dist
+  SELECT q.q, q.qa, d.word, d.df, levenshtein(q.qa, d.word) AS dist
   FROM {p}_q q JOIN dict d ON length(d.word) BETWEEN length(q.qa) - 2 AND length(q.qa) + 2)""",
         f"""{p}_best AS (
   SELECT q, word FROM (
-    SELECT q, word, row_number() OVER (PARTITION BY q ORDER BY dist, df DESC, word) AS rn FROM {p}_cand WHERE dist <= 2)
+    SELECT q, word, row_number() OVER (PARTITION BY q ORDER BY dist, df DESC, word) AS rn FROM {p}_cand WHERE dist <= 2 AND dist < length(qa))
   WHERE rn = 1)""",
         f"""{p}_fix AS (
   SELECT w.query_id, w.pos, w.word, coalesce(b.word, w.word) AS correction
@@ -150,11 +155,11 @@ SELECT user_id, seq, {norm('text')} AS normalized, len(string_split({norm('text'
     sql["spell_correct"] = w(*docs, DICT, queries_cte, MISSPELT, *spell_ctes("misspelt", "sp")) + \
         "SELECT query_id, pos, word, correction FROM sp_fix"
     full = (*base_ctes, chain_cte, *pagerank_ctes(), DICT, queries_cte, MISSPELT, SESSION, *fallback_ctes())
-    sql["search_with_fallback"] = w(*full) + "SELECT query_id, corrected, rank, doc_id, score FROM fallback"
+    sql["search_with_fallback"] = w(*full) + "SELECT query_id, corrected, rank, doc_id, round(score, 9) AS score FROM fallback"
     sql["suggestion_list"] = w(*full) + "SELECT text, first_seen FROM sugg"
     sql["suggestions"] = w(*full, *suggestion_ctes()) + """
 SELECT query_id, rank, text AS suggestion FROM (
-  SELECT query_id, text, row_number() OVER (PARTITION BY query_id ORDER BY first_seen)::BIGINT AS rank FROM matched)
+  SELECT query_id, text, row_number() OVER (PARTITION BY query_id ORDER BY first_seen, text)::BIGINT AS rank FROM matched)
 WHERE rank <= 5"""
     sql["query_word_counts"] = w(LOG, log_words()) + """
 SELECT user_id, seq, word, count(*)::BIGINT AS n, min(pos) AS first_pos FROM lw GROUP BY user_id, seq, word"""

@@ -100,16 +100,19 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.parquet(write_table(df))
 
 
-def bucketed(df: DataFrame, num_buckets: int, *cols: str) -> DataFrame:
+def bucketed(df: DataFrame, num_buckets: int, *cols: str, names: list[str] | None = None) -> DataFrame:
     """Write ``df`` as a table bucketed by ``cols`` (in the shared checkpoint folder) and read it back.
 
     A bucketed scan reports its hash partitioning, so later joins and
     aggregations on ``cols`` with ``num_buckets`` partitions do not move this
-    side. (A checkpointed DataFrame does not keep its partitioning.)
+    side. (A checkpointed DataFrame does not keep its partitioning.) The table's name
+    is added to ``names``, for who wants to unregister it.
     """
     spark = df.sparkSession
     base = ensure_checkpoint_dir(spark).rstrip("/")
     name = f"webloom_{uuid.uuid4().hex}"
+    if names is not None:
+        names.append(name)
     (
         df.repartition(num_buckets, *cols)
         .write.bucketBy(num_buckets, *cols)

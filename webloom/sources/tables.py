@@ -79,14 +79,25 @@ def misspelt_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def search_session(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A stream of searches: each benchmark query, then its misspelt form.
+    """A stream of searches, four per benchmark text: the text, its misspelt form, one of its words with two letters too
+    many, and one that no correction finds.
 
-    ``query_id`` orders the stream (2 * item_id, then 2 * item_id + 1), which is
-    what "earlier successful searches" refers to for suggestions.
+    ``query_id`` orders the stream (4 * item_id, ...), which is what "earlier successful searches" refers to for
+    suggestions. The third and fourth take the text's first word of more than four letters; texts without one ask
+    for nothing there.
     """
-    orig = benchmark_queries(spark, sf_dir).select((F.col("query_id") * 2).alias("query_id"), "keywords")
-    typo = misspelt_queries(spark, sf_dir).select((F.col("query_id") * 2 + 1).alias("query_id"), "keywords")
-    return orig.unionByName(typo)
+    orig = benchmark_queries(spark, sf_dir)
+    typo = misspelt_queries(spark, sf_dir)
+    long = F.try_element_at(F.filter(F.split("keywords", " ", -1), lambda w: F.length(w) > 4), F.lit(1))
+    word = orig.select("query_id", F.coalesce(long, F.lit("")).alias("word"))
+    rest = F.substring("word", 4, 2147483647)
+    near = F.when(F.col("word") != "", F.concat(F.substring("word", 1, 3), F.lit("qz"), rest)).otherwise("")
+    lost = F.when(F.col("word") != "", F.concat(F.substring("word", 1, 1), F.lit("qzqzqzq"), F.right("word", F.lit(1)))).otherwise("")
+    out = None
+    for k, part in enumerate([orig, typo, word.select("query_id", near.alias("keywords")), word.select("query_id", lost.alias("keywords"))]):
+        part = part.select((F.col("query_id") * 4 + k).alias("query_id"), "keywords")
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def search_log(spark: SparkSession, sf_dir: str) -> DataFrame:
