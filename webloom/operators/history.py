@@ -6,10 +6,9 @@ each user's 10 most recent distinct words with the reference's queue rule
 (a word is appended only if it is not in the queue; the oldest drops out at
 10; no move to the end on repeat); H5 is H2 + H4 cut at a sign-out turn.
 
-H4 is an order-dependent fold, evaluated chunk by chunk with one JVM ``aggregate``: each user's words are
-numbered in order (distributed), cut into bounded chunks written in a folder per chunk, and folded one chunk
-after the other with the queue (at most 10 words) carried between iterations. No user's history is ever one
-group, one task's work or one array, however long it is.
+H4 is an order-dependent fold, evaluated in bounded chunks of a user's words with one JVM ``aggregate`` each: all
+chunks at once, then again where a chunk began from another queue than its predecessor ended with. No user's
+history is ever one group, one task's work or one array, however long it is.
 """
 
 from __future__ import annotations
@@ -19,7 +18,7 @@ from pyspark.sql import functions as F
 
 from webloom.functions.text import normalize_query, split_query_words
 from webloom.operators.distribute import row_numbers
-from webloom.session import materialize, write_table
+from webloom.session import materialize, target_partitions
 
 TOP_WORDS = 20  # fixed value: history table size
 RECENT_WORDS = 10  # fixed value: recent-words queue length
@@ -81,23 +80,30 @@ def advance_queues(words: DataFrame, before: DataFrame, k: int = RECENT_WORDS,
     """Queues ``(user_id, queue)`` after the words ``(user_id, seq, pos, word)``, starting from ``before``.
 
     Words are numbered per user in (seq, pos) order with ``row_numbers`` (a user with a third of the log spans
-    many range partitions) and written in a folder per chunk of ``chunk_rows`` words. Iteration ``c`` reads chunk
-    ``c`` alone and starts from the queues carried out of chunk ``c - 1``; users without a word keep theirs.
+    many range partitions) and put together in chunks of ``chunk_rows``. All chunks are folded at once, a user's first
+    one from the queue carried in, the others as if the queue were empty. Then each chunk whose predecessor ended
+    with another queue than it started from is folded again, until none is left. Queues forget how they began
+    within some words, so one such repair is the rule, however many chunks a user has; the result is exact in any
+    case. Users without a word keep their queue.
     """
-    spark = words.sparkSession
     numbered = row_numbers(words, order_by=["seq", "pos"], partition_by=["user_id"], out="rn")
-    numbered = numbered.withColumn("chunk", F.floor((F.col("rn") - 1) / F.lit(chunk_rows)).cast("long"))
-    path = write_table(numbered.select("user_id", "rn", "word", "chunk"), "chunk")
-    chunks = spark.read.schema("user_id long, rn long, word string, chunk long").parquet(path)
-    top = chunks.agg(F.max("chunk")).first()[0]
-    queues = before
-    for c in range(0 if top is None else int(top) + 1):
-        new = chunks.where(F.col("chunk") == c).groupBy("user_id").agg(
-            F.transform(F.array_sort(F.collect_list(F.struct("rn", "word"))), lambda x: x["word"]).alias("words"))
-        old = F.coalesce("queue", F.array().cast("array<string>"))
-        queues = materialize(queues.join(new, "user_id", "full_outer").select(
-            "user_id", F.when(F.col("words").isNull(), F.col("queue")).otherwise(queue_after(old, F.col("words"), k)).alias("queue")))
-    return queues
+    chunk = F.floor((F.col("rn") - 1) / F.lit(chunk_rows)).cast("long")
+    chunks = materialize(numbered.groupBy("user_id", chunk.alias("chunk")).agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("rn", "word"))), lambda x: x["word"]).alias("words")))
+    nothing = F.array().cast("array<string>")
+    carried = before.select("user_id", F.col("queue").alias("carried"), F.lit(0).cast("long").alias("chunk"))
+    started = chunks.join(carried, ["user_id", "chunk"], "left").withColumn("start", F.coalesce("carried", nothing))
+    folded = materialize(started.select("user_id", "chunk", "start", queue_after(F.col("start"), F.col("words"), k).alias("end")))
+    while True:
+        ends = folded.select("user_id", (F.col("chunk") + 1).alias("chunk"), F.col("end").alias("given"))
+        wrong = materialize(folded.join(ends, ["user_id", "chunk"]).where("start <> given").select("user_id", "chunk", "given"))
+        if wrong.isEmpty():
+            break
+        again = chunks.join(wrong, ["user_id", "chunk"]).select(
+            "user_id", "chunk", F.col("given").alias("start"), queue_after(F.col("given"), F.col("words"), k).alias("end"))
+        folded = materialize(folded.join(wrong, ["user_id", "chunk"], "left_anti").unionByName(again))
+    last = folded.groupBy("user_id").agg(F.max_by("end", "chunk").alias("end"))
+    return before.join(last, "user_id", "full_outer").select("user_id", F.coalesce("end", "queue").alias("queue"))
 
 
 def queue_ranks(queues: DataFrame) -> DataFrame:
@@ -113,6 +119,25 @@ def recent_words(log: DataFrame, k: int = RECENT_WORDS, chunk_rows: int = RECENT
     return queue_ranks(advance_queues(words, none, k, chunk_rows))
 
 
+def _next_mark(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``signout_seq``: the seq of the user's next row with ``out = 1`` in (seq, out) order.
+
+    Rows lie in range partitions of (user_id, seq, out), so a user with most of the log has many of them. What a
+    partition does not know comes from the first mark in the user's later partitions.
+    """
+    keys = ["user_id", "seq", "out"]
+    # Partition numbers are fixed in a written table before they are used twice.
+    placed = materialize(rows.repartitionByRange(target_partitions(rows), *keys).withColumn("_p", F.spark_partition_id()))
+    mark = F.min(F.when(F.col("out") == 1, F.col("seq")))
+    ahead = Window.partitionBy("_p", "user_id").orderBy("seq", "out").rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    # A row per user and partition, of users in several partitions at most one per partition.
+    first = placed.groupBy("_p", "user_id").agg(mark.alias("first"))
+    later = Window.partitionBy("user_id").orderBy("_p").rowsBetween(1, Window.unboundedFollowing)
+    after = first.select("_p", "user_id", F.min("first").over(later).alias("after"))
+    here = placed.withColumn("here", mark.over(ahead)).join(after, ["_p", "user_id"])
+    return here.withColumn("signout_seq", F.coalesce("here", "after")).drop("_p", "here", "after")
+
+
 def history_snapshot(log: DataFrame, signouts: DataFrame) -> DataFrame:
     """H5: per user, the word totals and the recent queue as of the user's sign-out, after which both start anew.
 
@@ -122,10 +147,7 @@ def history_snapshot(log: DataFrame, signouts: DataFrame) -> DataFrame:
     """
     mark = signouts.select("user_id", "seq", F.lit(None).cast("string").alias("text"), F.lit(1).alias("out"))
     rows = log.select("user_id", "seq", "text", F.lit(0).alias("out")).unionByName(mark).where(F.col("user_id").isNotNull())
-    # The session of a search ends with the next sign-out at or after it.
-    ahead = Window.partitionBy("user_id").orderBy("seq", "out").rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    ended = rows.withColumn("signout_seq", F.min(F.when(F.col("out") == 1, F.col("seq"))).over(ahead)).where(
-        (F.col("out") == 0) & F.col("signout_seq").isNotNull())
+    ended = _next_mark(rows).where((F.col("out") == 0) & F.col("signout_seq").isNotNull())
     # Sessions are numbered by one column, as users are elsewhere.
     sessions = materialize(row_numbers(ended.select("user_id", "signout_seq").distinct(), ["user_id", "signout_seq"], out="session"))
     cut = ended.join(sessions, ["user_id", "signout_seq"]).select(F.col("session").alias("user_id"), "seq", "text")
