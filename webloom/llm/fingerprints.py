@@ -5,9 +5,12 @@ and for two bases. The difference of two entries is the hash of the span between
 compared in constant time, and the longest common extension of two positions is found by binary search.
 
 A fingerprint samples the prefix array: at a fixed stride from the front (prefixes) and at the same stride from
-the back (suffixes). Two fingerprints tell how far the texts agree from the front, from the back, and, block by
-block, in between; ``likeness`` is the part of the longer text that agrees. Samples lose what lies between edits that change
-the length; where both texts are at hand, ``aligned_likeness`` matches spans at any offset by their prefix arrays.
+the back (suffixes), and at places that the text itself picks: wherever the hash of the characters just before ends
+in enough zeros. Such places move with the text, so behind an edit that changes the length the pieces between them
+are the same again. Two fingerprints tell how far the texts agree from the front, from the back, in blocks at equal
+distance from an end, and in pieces that follow each other in both; ``likeness`` is the part of the longer text that
+agrees. A piece with an edit in it counts as different, so ``likeness`` is at most about a piece per edit too low.
+Where both texts are at hand, ``matched`` aligns them character by character by their prefix arrays.
 
 The query form compares each text with its next document and with an edited text that takes in the head of that
 document. Neighbours meet without a global sort in one task: ids are cut into consecutive blocks of bounded
@@ -32,6 +35,8 @@ PRIME = (1 << 31) - 1
 BASES = (1_000_003, 998_244_353)
 #: Samples per direction: the stride is the least power of two that needs no more.
 SAMPLES = 64
+#: Characters whose hash picks a place, and pieces that a text is cut into on average at most.
+PICK, PIECES = 8, 256
 #: Lengths of the spans by which texts are brought together again after an edit, tried one after the other; equal
 #: spans looked at on either side of a span's own place, where a text repeats itself.
 WINDOWS, PLACES = (256, 64, 16, 6), 2
@@ -49,16 +54,17 @@ def _fold(x: np.ndarray) -> np.ndarray:
 
 
 class Powers:
-    """Powers of the bases modulo PRIME, grown on demand."""
+    """Powers of the bases (or of their inverses) modulo PRIME, grown on demand."""
 
-    def __init__(self) -> None:
-        self.table = np.ones((len(BASES), 1), np.uint64)
+    def __init__(self, bases: tuple[int, ...] = BASES) -> None:
+        self.bases, self.table = bases, np.ones((len(bases), 1), np.uint64)
+        self.inverse = Powers((pow(bases[0], -1, PRIME),)) if bases is BASES else None
 
     def up_to(self, n: int) -> np.ndarray:
         """An array (base, exponent) with exponents 0 to n at least."""
         while self.table.shape[1] <= n:
             k = self.table.shape[1]
-            top = np.array([[pow(b, k, PRIME)] for b in BASES], np.uint64)
+            top = np.array([[pow(b, k, PRIME)] for b in self.bases], np.uint64)
             self.table = np.concatenate([self.table, _fold(self.table * top)], axis=1)
         return self.table
 
@@ -105,7 +111,8 @@ def _stride(n: int, samples: int) -> int:
 
 
 def fingerprint(text: str, powers: Powers, samples: int = SAMPLES) -> str:
-    """``<length>:<hash of the whole>:<prefix samples>:<suffix samples>`` in hexadecimal, 16 digits a sample.
+    """``<length>:<hash of the whole>:<prefix samples>:<suffix samples>:<stride>:<pieces>`` in hexadecimal, 16 digits a
+    sample, 18 a piece.
 
     Prefix samples hash the first k strides, suffix samples the last k strides, k = 1, 2, ...; suffix hashes
     count positions from the end, so that both depend on nothing but the characters they cover.
@@ -125,11 +132,74 @@ def fingerprint(text: str, powers: Powers, samples: int = SAMPLES) -> str:
     whole = int(front[-1]) if n else 0
     full = n // stride
     hexed = lambda a: a.astype(">u8").tobytes().hex()
-    return f"{n:x}:{whole:016x}:{hexed(front[:full])}:{hexed(back[:full])}"
+    return f"{n:x}:{whole:016x}:{hexed(front[:full])}:{hexed(back[:full])}:{_pieces(codes, powers)}"
+
+
+def _pieces(codes: np.ndarray, powers: Powers) -> str:
+    """``<stride>:<pieces>``: from each picked place to the next, a piece's hash (8 digits), length (8) and the power
+    of two by which the hash that closes it is divisible beyond the stride (2), in hexadecimal."""
+    n, stride = len(codes), _stride(len(codes), PIECES)
+    if not n:
+        return "1:"
+    back = powers.inverse.up_to(n)[0]
+    sums = np.zeros(n + 1, np.uint64)
+    sums[1:] = _fold(np.cumsum(_fold(codes * powers.up_to(n)[0, :n])))
+    width = min(PICK, n)
+    seen = _fold(_fold(sums[width:] + np.uint64(PRIME) - sums[:-width]) * back[: n + 1 - width])
+    # Multiplied once more, as low digits of a polynomial hash follow the characters.
+    seen = seen * np.uint64(2654435761) >> np.uint64(20) & np.uint64(0xFFFFFFFF)
+    ends = np.flatnonzero(seen & np.uint64(stride - 1) == 0) + width
+    level = seen[ends - width] >> np.uint64(stride.bit_length() - 1) | np.uint64(1 << 31)
+    level = np.log2((level & (~level + np.uint64(1))).astype(float)).astype(np.int64)
+    if not len(ends) or ends[-1] != n:
+        ends, level = np.append(ends, n), np.append(level, 31)  # the text's end closes a piece at every stride
+    level[-1] = 31
+    starts = np.append(0, ends[:-1])
+    spans = _fold(_fold(sums[ends] + np.uint64(PRIME) - sums[starts]) * back[starts])
+    record = np.empty(len(ends), np.dtype([("hash", ">u4"), ("length", ">u4"), ("level", "u1")]))
+    record["hash"], record["length"], record["level"] = spans, ends - starts, level
+    return f"{stride:x}:{record.tobytes().hex()}"
+
+
+def _read_pieces(stride: str, text: str) -> tuple[int, list[tuple[int, int, int]]]:
+    record = np.frombuffer(bytes.fromhex(text), np.dtype([("hash", ">u4"), ("length", ">u4"), ("level", "u1")]))
+    return int(stride, 16), list(zip(*(record[c].tolist() for c in ("hash", "length", "level")), strict=True))
+
+
+def _coarser(pieces: list[tuple[int, int, int]], steps: int) -> list[tuple[int, int]]:
+    """Pieces as they would be at a stride ``steps`` doublings larger: hashes of neighbours make that of both."""
+    out, whole, length = [], 0, 0
+    for h, n, level in pieces:
+        whole, length = (whole + h * pow(BASES[0], length, PRIME)) % PRIME if length else h, length + n
+        if level >= steps:
+            out.append((whole, length))
+            whole, length = 0, 0
+    return out
+
+
+def _in_common(a: list[tuple[int, int]], b: list[tuple[int, int]]) -> int:
+    """Characters of the longest chain of equal pieces that rises in both: of a repeated piece, places are tried
+    from the last to the first."""
+    places: dict[tuple[int, int], list[int]] = {}
+    for j, piece in enumerate(b):
+        places.setdefault(piece, []).append(j)
+    ends: list[int] = []
+    links: list[tuple[int, int]] = []
+    tails: list[int] = []
+    for piece in a:
+        for j in reversed(places.get(piece, ())):
+            k = bisect_left(ends, j)
+            links.append((piece[1], tails[k - 1] if k else -1))
+            ends[k : k + 1], tails[k : k + 1] = [j], [len(links) - 1]
+    total, k = 0, tails[-1] if tails else -1
+    while k >= 0:
+        n, k = links[k]
+        total += n
+    return total
 
 
 def _parsed(fp: str) -> tuple[int, str, list[np.ndarray]]:
-    n, whole, front, back = fp.split(":")
+    n, whole, front, back, _, _ = fp.split(":")
     return int(n, 16), whole, [np.frombuffer(bytes.fromhex(x), ">u8").astype(np.uint64) for x in (front, back)]
 
 
@@ -150,8 +220,8 @@ def _spans(samples: np.ndarray) -> np.ndarray:
 
 
 def likeness(fp: str, other: str, samples: int = SAMPLES) -> float:
-    """Part of the longer text that agrees, 0 to 1: from the front, from the back, and in equal blocks at equal
-    distance from either end. Equal fingerprints give 1."""
+    """Part of the longer text that agrees, 0 to 1: from the front and from the back, in equal blocks at equal
+    distance from either end, or in equal pieces in the same order, whichever is most. Equal fingerprints give 1."""
     if fp == other:
         return 1.0
     (n, _, mine), (m, _, theirs) = _parsed(fp), _parsed(other)
@@ -165,8 +235,11 @@ def likeness(fp: str, other: str, samples: int = SAMPLES) -> float:
         k = min(len(a), len(b))
         agree.append((_agreeing(a, b), int((_spans(a[:k]) == _spans(b[:k])).all(axis=0).sum())))
     (front, front_blocks), (back, back_blocks) = agree
-    matched = max(front + back, front_blocks, back_blocks) * stride
-    return min(matched, n, m) / max(n, m)
+    (step_a, pieces), (step_b, others) = (_read_pieces(*x.split(":")[4:]) for x in (fp, other))
+    shared = max(step_a, step_b)
+    pieces, others = (_coarser(p, (shared // own).bit_length() - 1) for p, own in ((pieces, step_a), (others, step_b)))
+    most = max(max(front + back, front_blocks, back_blocks) * stride, _in_common(pieces, others))
+    return min(most, n, m) / max(n, m)
 
 
 def _windows(text: PrefixHashes, positions: np.ndarray, w: int, top: int) -> np.ndarray:
@@ -278,14 +351,14 @@ RESULT = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string,
 
 
 def neighbour_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                           samples: int = SAMPLES, block_bytes: int = BLOCK_BYTES, aligned: bool = False) -> DataFrame:
+                           samples: int = SAMPLES, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Per row ``doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next``.
 
     The next document is the one with the next smaller id; the smallest id is followed by the largest (a single
     document follows itself). Rows that share an id are ordered by text; a null text counts as empty, a null id
     as the smallest id, -2^63. An empty text has the fingerprint of no characters; its likeness to another is
-    0, to an empty one 1. Other columns are ignored; an empty table gives an empty result. With ``aligned`` the
-    likenesses are those of the whole texts (``aligned_likeness``), else of their fingerprints.
+    0, to an empty one 1. Other columns are ignored; an empty table gives an empty result. ``near_edited`` and
+    ``near_next`` are the ``likeness`` of the fingerprints, and nothing else.
     """
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("id"),
                        F.coalesce(F.col(text_col), F.lit("")).alias("text"))
@@ -304,17 +377,11 @@ def neighbour_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: st
         own = int((~pdf["tail"]).sum())
         ids, texts = pdf["id"].tolist(), pdf["text"].tolist()
         out, mine = [], fingerprint(texts[0], powers, samples) if own else ""
-        whole = PrefixHashes(texts[0], powers) if own and aligned else None
         for i in range(own):
             new = edited(texts[i], texts[i + 1])
             following = fingerprint(texts[i + 1], powers, samples)
             changed = fingerprint(new, powers, samples)
-            if whole is not None:
-                after = PrefixHashes(texts[i + 1], powers)
-                near = aligned_likeness(whole, PrefixHashes(new, powers)), aligned_likeness(whole, after)
-                whole = after
-            else:
-                near = likeness(mine, changed, samples), likeness(mine, following, samples)
+            near = likeness(mine, changed, samples), likeness(mine, following, samples)
             out.append((ids[i], len(texts[i]), hashlib.sha256(new.encode("utf-8", "surrogatepass")).hexdigest(), mine, changed, *near))
             mine = following
         return pd.DataFrame(out, columns=["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"])
