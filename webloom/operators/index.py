@@ -140,11 +140,11 @@ def resolved_index(inv: DataFrame, lexicon: DataFrame, doc_index: DataFrame,
                    block: int = POSTING_BLOCK) -> DataFrame:
     """A5: word → set of URLs, in bounded blocks: ``(word, block_no, n_urls, urls)``.
 
-    Blocks follow doc-id ranges; URLs inside a block are sorted and joined by a space.
+    Blocks follow doc-id ranges; URLs inside a block are sorted and joined by line feeds, which no URL holds.
     """
     resolved = inv.join(lexicon, "word_id").join(doc_index, "doc_id").select("word", "doc_id", "url")
     return (
         resolved.groupBy("word", (F.col("doc_id") / F.lit(block)).cast("bigint").alias("block_no"))
         .agg(F.array_sort(F.collect_set("url")).alias("_s"))
-        .select("word", "block_no", F.size("_s").cast("bigint").alias("n_urls"), F.array_join("_s", " ").alias("urls"))
+        .select("word", "block_no", F.size("_s").cast("bigint").alias("n_urls"), F.array_join("_s", "\n").alias("urls"))
     )

@@ -201,6 +201,18 @@ def q_hits(spark, sf_dir):
     return P.hits(pages, idx.lexicon)
 
 
+def q_page_crawl(spark, sf_dir):
+    """Crawl from the first URL of every host, two links deep: the captured pages that are read and how many
+    different words each holds."""
+    pages = read_pages(spark, sf_dir)
+    urls = P.page_urls(pages)
+    first = urls.groupBy(F.regexp_extract("url", r"^[a-zA-Z][a-zA-Z0-9+.\-]*://([^/?#]*)", 1)).agg(F.min("url").alias("url"))
+    idx = crawl.index_pages(pages, seeds=crawl.seeds_from_urls(first), depth=CRAWL_DEPTH)
+    read = idx.read_pages.select("doc_id").distinct().join(idx.doc_index, "doc_id")
+    words = idx.inverted_index.groupBy("doc_id").agg(F.count(F.lit(1)).cast("bigint").alias("n_words"))
+    return read.join(words, "doc_id", "left").select("url", F.coalesce("n_words", F.lit(0)).cast("bigint").alias("n_words"))
+
+
 def q_rank_report(spark, sf_dir):
     idx = page_index(spark, sf_dir)
     return rounded(graph.rank_report(graph.page_rank(idx.edges), idx.doc_index))
@@ -384,6 +396,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "hits": q_hits,
     "rank_report": q_rank_report,
     "page_search": q_page_search,
+    "page_crawl": q_page_crawl,
     "spell_dictionary": q_spell_dictionary,
     "normalize_query": q_normalize_query,
     "spell_correct": q_spell_correct,

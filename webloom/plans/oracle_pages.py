@@ -206,7 +206,7 @@ def build(pagerank_ctes) -> dict[str, str]:
     sql["page_inverted_index"] = _with(*PAGE_INDEX_CTES) + "SELECT word_id, doc_id FROM pg_inv"
     sql["resolved_index"] = _with(*PAGE_INDEX_CTES) + f"""
 SELECT l.word, (i.doc_id // {POSTING_BLOCK})::BIGINT AS block_no, count(*)::BIGINT AS n_urls,
-       string_agg(d.url, ' ' ORDER BY d.url) AS urls
+       string_agg(d.url, chr(10) ORDER BY d.url) AS urls
 FROM pg_inv i JOIN pg_lex l ON l.word_id = i.word_id JOIN pg_docidx d ON d.doc_id = i.doc_id
 GROUP BY l.word, i.doc_id // {POSTING_BLOCK}"""
     sql["hits"] = _with(*PAGE_INDEX_CTES, *font_ctes()) + """
@@ -215,6 +215,14 @@ FROM pg_toks t JOIN pg_font f ON f.page_id = t.page_id AND f.pos = t.pos JOIN pg
     sql["rank_report"] = _with(*PAGE_INDEX_CTES, *pagerank_ctes(edges="pg_edges")) + """
 SELECT row_number() OVER (ORDER BY p.score DESC, d.url)::BIGINT AS rank, d.url, round(p.score, 9) AS score
 FROM pr p JOIN pg_docidx d ON d.doc_id = p.doc_id"""
+    host = f"regexp_extract(url, {q(NETLOC_RE)}, 1)"
+    reached = ["pc_0 AS (SELECT d.doc_id AS id FROM pg_docidx d JOIN (SELECT min(url) AS url FROM pg_canon GROUP BY " + host + ") USING (url))"]
+    for depth in (1, 2):
+        reached.append(f"pc_{depth} AS (SELECT id FROM pc_{depth - 1} UNION SELECT e.to_id FROM pc_{depth - 1} c JOIN pg_edges e ON e.from_id = c.id)")
+    sql["page_crawl"] = _with(*PAGE_INDEX_CTES, *reached) + """
+SELECT d.url, count(DISTINCT l.word)::BIGINT AS n_words
+FROM pg_docidx d JOIN pg_canon c ON c.url = d.url LEFT JOIN pg_doc_toks l ON l.doc_id = d.doc_id
+WHERE d.doc_id IN (SELECT id FROM pc_2) GROUP BY d.url"""
     sql["page_search"] = _with(
         *PAGE_INDEX_CTES, *pagerank_ctes(edges="pg_edges"),
         f"""terms AS (
