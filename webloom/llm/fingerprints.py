@@ -22,6 +22,7 @@ from __future__ import annotations
 import hashlib
 from bisect import bisect_left
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -53,6 +54,11 @@ def _fold(x: np.ndarray) -> np.ndarray:
     return np.where(x >= PRIME, x - np.uint64(PRIME), x)
 
 
+def _below(x: np.ndarray) -> np.ndarray:
+    """Something congruent to x modulo PRIME and below 2^32, for x below 2^62: enough before sums are taken."""
+    return (x & PRIME) + (x >> np.uint64(31))
+
+
 class Powers:
     """Powers of the bases (or of their inverses) modulo PRIME, grown on demand."""
 
@@ -119,33 +125,34 @@ def fingerprint(text: str, powers: Powers, samples: int = SAMPLES) -> str:
     """
     codes = code_points(text)
     n, stride = len(codes), _stride(len(codes), samples)
-    pows = powers.up_to(n)
+    pows = powers.up_to(n)[:, :n]
 
-    def sampled(c: np.ndarray) -> np.ndarray:
+    def sampled(terms: np.ndarray) -> np.ndarray:
         if not n:
             return np.zeros(0, np.uint64)
-        blocks = np.add.reduceat(_fold(c * pows[:, :n]), np.arange(0, n, stride), axis=1)
+        blocks = np.add.reduceat(terms, np.arange(0, n, stride), axis=1)
         sums = _fold(np.cumsum(_fold(blocks), axis=1))
         return (sums[0] << np.uint64(32)) | sums[1]
 
-    front, back = sampled(codes), sampled(codes[::-1])
+    terms = _below(codes * pows)
+    front, back = sampled(terms), sampled(_below(codes[::-1] * pows))
     whole = int(front[-1]) if n else 0
     full = n // stride
     hexed = lambda a: a.astype(">u8").tobytes().hex()
-    return f"{n:x}:{whole:016x}:{hexed(front[:full])}:{hexed(back[:full])}:{_pieces(codes, powers)}"
+    return f"{n:x}:{whole:016x}:{hexed(front[:full])}:{hexed(back[:full])}:{_pieces(terms[0], powers)}"
 
 
-def _pieces(codes: np.ndarray, powers: Powers) -> str:
-    """``<stride>:<pieces>``: from each picked place to the next, a piece's hash (8 digits), length (8) and the power
+def _pieces(terms: np.ndarray, powers: Powers) -> str:
+    """``<stride>:<pieces>`` of a text's terms character * base^position: from each picked place to the next, a piece's hash (8 digits), length (8) and the power
     of two by which the hash that closes it is divisible beyond the stride (2), in hexadecimal."""
-    n, stride = len(codes), _stride(len(codes), PIECES)
+    n, stride = len(terms), _stride(len(terms), PIECES)
     if not n:
         return "1:"
     back = powers.inverse.up_to(n)[0]
     sums = np.zeros(n + 1, np.uint64)
-    sums[1:] = _fold(np.cumsum(_fold(codes * powers.up_to(n)[0, :n])))
+    sums[1:] = _fold(np.cumsum(terms))
     width = min(PICK, n)
-    seen = _fold(_fold(sums[width:] + np.uint64(PRIME) - sums[:-width]) * back[: n + 1 - width])
+    seen = _fold(_below((sums[width:] + np.uint64(PRIME) - sums[:-width]) * back[: n + 1 - width]))
     # Multiplied once more, as low digits of a polynomial hash follow the characters.
     seen = seen * np.uint64(2654435761) >> np.uint64(20) & np.uint64(0xFFFFFFFF)
     ends = np.flatnonzero(seen & np.uint64(stride - 1) == 0) + width
@@ -166,11 +173,18 @@ def _read_pieces(stride: str, text: str) -> tuple[int, list[tuple[int, int, int]
     return int(stride, 16), list(zip(*(record[c].tolist() for c in ("hash", "length", "level")), strict=True))
 
 
+@lru_cache(maxsize=1 << 16)
+def _power(length: int) -> int:
+    return pow(BASES[0], length, PRIME)
+
+
 def _coarser(pieces: list[tuple[int, int, int]], steps: int) -> list[tuple[int, int]]:
     """Pieces as they would be at a stride ``steps`` doublings larger: hashes of neighbours make that of both."""
+    if not steps:
+        return [piece[:2] for piece in pieces]
     out, whole, length = [], 0, 0
     for h, n, level in pieces:
-        whole, length = (whole + h * pow(BASES[0], length, PRIME)) % PRIME if length else h, length + n
+        whole, length = (whole + h * _power(length)) % PRIME if length else h, length + n
         if level >= steps:
             out.append((whole, length))
             whole, length = 0, 0
@@ -178,29 +192,45 @@ def _coarser(pieces: list[tuple[int, int, int]], steps: int) -> list[tuple[int,
 
 
 def _in_common(a: list[tuple[int, int]], b: list[tuple[int, int]]) -> int:
-    """Characters of the longest chain of equal pieces that rises in both: of a repeated piece, places are tried
-    from the last to the first."""
+    """Characters of the longest chain of equal pieces that rises in both, what the two begin and end with first: of
+    a repeated piece, places are tried from the last to the first."""
+    start = next((k for k, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
+    ahead = sum(n for _, n in a[:start])
+    a, b = a[start:], b[start:]
+    stop = next((k for k, (x, y) in enumerate(zip(reversed(a), reversed(b), strict=False)) if x != y), min(len(a), len(b)))
+    behind = sum(n for _, n in a[len(a) - stop :])
+    a, b = a[: len(a) - stop], b[: len(b) - stop]
+    both = set(a).intersection(b)
+    if not both:
+        return ahead + behind
     places: dict[tuple[int, int], list[int]] = {}
     for j, piece in enumerate(b):
-        places.setdefault(piece, []).append(j)
+        if piece in both:
+            places.setdefault(piece, []).append(j)
     ends: list[int] = []
     links: list[tuple[int, int]] = []
     tails: list[int] = []
     for piece in a:
-        for j in reversed(places.get(piece, ())):
+        if piece not in both:
+            continue
+        for j in reversed(places[piece]):
             k = bisect_left(ends, j)
             links.append((piece[1], tails[k - 1] if k else -1))
             ends[k : k + 1], tails[k : k + 1] = [j], [len(links) - 1]
-    total, k = 0, tails[-1] if tails else -1
+    total, k = ahead + behind, tails[-1] if tails else -1
     while k >= 0:
         n, k = links[k]
         total += n
     return total
 
 
-def _parsed(fp: str) -> tuple[int, str, list[np.ndarray]]:
-    n, whole, front, back, _, _ = fp.split(":")
-    return int(n, 16), whole, [np.frombuffer(bytes.fromhex(x), ">u8").astype(np.uint64) for x in (front, back)]
+@lru_cache(maxsize=4)
+def _parsed(fp: str) -> tuple[int, list[np.ndarray], int, list[tuple[int, int, int]]]:
+    """Length, prefix and suffix samples, stride and pieces; neighbours are compared one after the other, so the
+    last few are kept."""
+    n, _, front, back, stride, pieces = fp.split(":")
+    samples = [np.frombuffer(bytes.fromhex(x), ">u8").astype(np.uint64) for x in (front, back)]
+    return int(n, 16), samples, *_read_pieces(stride, pieces)
 
 
 def _agreeing(a: np.ndarray, b: np.ndarray) -> int:
@@ -224,7 +254,7 @@ def likeness(fp: str, other: str, samples: int = SAMPLES) -> float:
     distance from either end, or in equal pieces in the same order, whichever is most. Equal fingerprints give 1."""
     if fp == other:
         return 1.0
-    (n, _, mine), (m, _, theirs) = _parsed(fp), _parsed(other)
+    (n, mine, cut, pieces), (m, theirs, cut_other, others) = _parsed(fp), _parsed(other)
     if not n or not m:
         return 0.0
     stride = max(_stride(n, samples), _stride(m, samples))
@@ -235,9 +265,8 @@ def likeness(fp: str, other: str, samples: int = SAMPLES) -> float:
         k = min(len(a), len(b))
         agree.append((_agreeing(a, b), int((_spans(a[:k]) == _spans(b[:k])).all(axis=0).sum())))
     (front, front_blocks), (back, back_blocks) = agree
-    (step_a, pieces), (step_b, others) = (_read_pieces(*x.split(":")[4:]) for x in (fp, other))
-    shared = max(step_a, step_b)
-    pieces, others = (_coarser(p, (shared // own).bit_length() - 1) for p, own in ((pieces, step_a), (others, step_b)))
+    shared = max(cut, cut_other)
+    pieces, others = (_coarser(p, (shared // own).bit_length() - 1) for p, own in ((pieces, cut), (others, cut_other)))
     most = max(max(front + back, front_blocks, back_blocks) * stride, _in_common(pieces, others))
     return min(most, n, m) / max(n, m)
 
