@@ -136,9 +136,10 @@ def link_by_groups(sets: list[np.ndarray], labels: np.ndarray, percent: int, sid
     heads = np.arange(0, n, group)
     least, most = np.minimum.reduceat(sizes, heads), np.maximum.reduceat(sizes, heads)
     # The matrix: the groups of each token, one entry per token and group.
-    owner = np.repeat(np.arange(n) // group, sizes)
+    owner = np.repeat((np.arange(n) // group).astype(np.int32), sizes)
     order = np.lexsort((owner, flat))
     tok, grp = flat[order], owner[order]
+    del owner, order
     keep = np.concatenate([[True], (tok[1:] != tok[:-1]) | (grp[1:] != grp[:-1])]) if len(tok) else np.zeros(0, bool)
     tok, grp = tok[keep], grp[keep]
     for i in range(n):
@@ -209,12 +210,13 @@ def _within_partitions(sets: DataFrame, percent: int, partition_bytes: int) -> D
     return materialize(laid.mapInPandas(join, "node long, family long, part int, label long"))
 
 
-def _across(rows: DataFrame, percent: int, partition_bytes: int) -> DataFrame:
+def _across(rows: DataFrame, sets: DataFrame, percent: int, partition_bytes: int) -> DataFrame:
     """Links between labels of one family that lie in different partitions: ``(a, b)``.
 
-    ``rows``: ``family, part, low, high, least, node, label, tokens``. A family's partitions are dealt into as
-    many consecutive chunks as its sets fill partitions; each chunk is compared with itself and the others, two
-    chunks in a task.
+    ``rows``: ``family, part, low, high, node, label``, whose tokens are read from ``sets``. A family's partitions
+    are dealt into as many consecutive chunks as its sets fill partitions; each chunk is compared with itself and
+    the others. Pairs of chunks are dealt out by family and both chunks, so that a large family's pairs are spread
+    over tasks and no group holds more than two chunks.
     """
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -223,16 +225,20 @@ def _across(rows: DataFrame, percent: int, partition_bytes: int) -> DataFrame:
             return pd.DataFrame({"a": [], "b": []}, dtype="int64")
         new = _joined_labels(pdf["node"], pdf["label"], pdf["tokens"], percent, pdf["part"].to_numpy())
         moved = new != pdf["label"].to_numpy()
-        return pd.DataFrame({"a": pdf["label"].to_numpy()[moved], "b": new[moved]}).drop_duplicates()
+        out = pd.DataFrame({"a": pdf["label"].to_numpy()[moved], "b": new[moved]}).drop_duplicates()
+        release_memory()
+        return out
 
-    size = rows.groupBy("family").agg(F.ceil(F.sum(F.octet_length("tokens")) / partition_bytes).alias("chunks"))
+    told = rows.join(sets.select("node", "least", "tokens"), "node")
+    size = told.groupBy("family").agg(F.ceil(F.sum(F.octet_length("tokens")) / partition_bytes).alias("chunks"))
     chunk = F.floor((F.col("part") - F.col("low")) * F.col("chunks") / (F.col("high") - F.col("low") + 1))
-    paired = rows.join(size, "family").withColumn("chunk", chunk).withColumn(
+    # The pairs of chunks are settled on rows without tokens; tokens join them on their way to the tasks.
+    paired = rows.join(materialize(size), "family").withColumn("chunk", chunk).withColumn(
         "other", F.explode(F.when(F.col("chunks") == 1, F.array(F.lit(0).cast("long"))).otherwise(
             F.filter(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1), lambda x: x != F.col("chunk")))))
-    paired = paired.select("family", F.least("chunk", "other").alias("p"), F.greatest("chunk", "other").alias("q"),
-                           "part", "least", "node", "label", "tokens")
-    return materialize(paired.groupBy("family", "p", "q").applyInPandas(compare, "a long, b long"))
+    paired = paired.select("family", F.least("chunk", "other").alias("p"), F.greatest("chunk", "other").alias("q"), "part", "node", "label")
+    dealt = paired.join(sets.select("node", "least", "tokens"), "node").repartition("family", "p", "q")
+    return materialize(dealt.groupBy("family", "p", "q").applyInPandas(compare, "a long, b long"))
 
 
 def _renamed(links: DataFrame) -> DataFrame:
@@ -244,21 +250,28 @@ def _relabel(rows: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def _verified(sets: DataFrame, percent: int, partition_bytes: int) -> DataFrame:
-    """``(node, label)`` of all candidates: equal labels for documents in one component of links."""
+    """``(node, label)`` of all candidates, written: equal labels for documents in one component of links."""
     placed = _within_partitions(sets, percent, partition_bytes)
     spread = placed.groupBy("family").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high")
-    # Partitions are consecutive, so at most one family runs over each border.
-    cut = materialize(placed.join(spread, "family").join(sets.select("node", "least", "tokens"), "node"))
-    labels = placed.select("node", "label").distinct()  # a row that repeats has its set twice
+    # Partitions are consecutive, so at most one family runs over each border. Tokens stay in ``sets``.
+    cut = materialize(placed.join(spread, "family").distinct())
+    labels = materialize(placed.select("node", "label").distinct())  # a row that repeats has its set twice
+    discard(placed)
     if cut.isEmpty():
         return labels
-    links = _across(cut.where("node = label"), percent, partition_bytes)  # one document for each component so far
+    links = _across(cut.where("node = label"), sets, percent, partition_bytes)  # one document for each component so far
     if not links.isEmpty():
-        new = _renamed(links)
+        new, before = _renamed(links), (cut, labels)
         cut, labels = materialize(_relabel(cut, new)), materialize(_relabel(labels, new))
+        discard(*before)
     apart = cut.groupBy("family").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("family")
-    links = _across(cut.join(apart, "family", "left_semi"), percent, partition_bytes)
-    return labels if links.isEmpty() else _relabel(labels, _renamed(links))
+    links = _across(cut.join(apart, "family", "left_semi"), sets, percent, partition_bytes)
+    discard(cut)
+    if links.isEmpty():
+        return labels
+    before, labels = labels, materialize(_relabel(labels, _renamed(links)))
+    discard(before)
+    return labels
 
 
 def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
@@ -309,9 +322,11 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     links = materialize(cells.join(leaders, "sig").where("node <> leader").select("node", "leader").distinct())
     discard(signed, leaders)
     families = connected_components(links).select("node", F.col("label").alias("family"))
+    discard(links)
     wanted = families.join(classes, "node").withColumnRenamed("rep", "doc_id")
     sets = materialize(rows.join(wanted, "doc_id").mapInPandas(with_tokens, "family long, node long, least long, tokens binary"))
     labels = _verified(sets, percent, partition_bytes)
+    discard(families, sets)
     named = classes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     smallest = named.groupBy("label").agg(F.min("rep").alias("component_id"))
     components = named.join(smallest, "label").select(*equal, "component_id")
