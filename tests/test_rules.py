@@ -3,10 +3,12 @@
 import random
 import uuid
 
+import duckdb
 import pytest
 
 from pyspark.sql import functions as F
 
+from __spark_entry__ import oracle_sql, queries
 from webloom.functions.text import STOP_WORDS, normalize_query
 from webloom.operators import graph, history, index, search, spell
 from webloom.session import ensure_checkpoint_dir
@@ -75,6 +77,39 @@ def test_spelling_of_random_words_of_every_length(spark):
     assert got == {w: _brute_correct(w, dictionary) for w in words}
 
 
+def test_spelling_at_any_length_matches_brute_force(spark):
+    r = random.Random(8)
+    word = lambda n: "".join(r.choice("abcdef") for _ in range(n))
+    words = ["", "z", "zy", "é", "éa", "zyx", "zyxw", "az", "zb", "q1"] + [word(n) for n in range(7) for _ in range(8)]
+    q = spark.createDataFrame([(w,) for w in words], "word string")
+    for lengths in ([1, 1, 2, 2, 2, 3, 4, 5], [2, 2, 3], [1, 4], [3, 3, 6]):
+        dictionary = {word(n): r.randint(1, 4) for n in lengths for _ in range(4)}
+        d = spark.createDataFrame(list(dictionary.items()), "word string, df long")
+        got = {x.word: (x.correction, x.distance) for x in spell.correct_words(q, d, any_length=True).collect()}
+        want = {}
+        for w in words:
+            near = sorted((duckdb_levenshtein(w, x), -df, x) for x, df in dictionary.items())
+            want[w] = (near[0][2], near[0][0]) if near[0][0] <= 2 else (w, None)
+        assert got == want
+
+
+def duckdb_levenshtein(a, b):
+    plain = "".join(c if c.isascii() else "~" for c in a)
+    return duckdb.execute("SELECT levenshtein(?, ?)", [plain, b]).fetchone()[0]
+
+
+def test_spell_correct_has_no_cut_by_length(spark, tmp_path):
+    """A short unknown word and an empty one are corrected too, as the statement says."""
+    spark.createDataFrame([(1, "at home to stay to"), (2, "to a be")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, "zq home"), (2, ""), (3, "x")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = sorted(tuple(x) for x in queries()["spell_correct"](spark, str(tmp_path)).select("query_id", "pos", "word", "correction").collect())
+    assert rows == [(1, 0, "zq", "to"), (1, 1, "home", "home"), (2, 0, "", "a"), (3, 0, "x", "a")]
+    con = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{tmp_path}/{t}.parquet/*.parquet')")
+    assert sorted(con.execute(f"SELECT query_id, pos, word, correction FROM ({oracle_sql()['spell_correct']})").fetchall()) == rows
+
+
 def test_recent_words_queue_rule(spark):
     log = spark.createDataFrame(
         [(1, 0, "a b c"), (1, 1, "a d e f g h i j k"), (1, 2, "l a"), (2, 0, "x x y")],
