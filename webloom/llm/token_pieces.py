@@ -2,8 +2,9 @@
 
 Both tokenizers cut a text into pre-tokens before they merge, and no pre-token runs on from a non-space to a
 space. So a text may be cut before its spaces and the words encoded one by one, with the same ids. Words
-repeat: each worker process remembers the ids of the words it has met, and encodes new ones many at a time,
-parted by a separator that keeps a token of its own. Texts with unusual white space are encoded whole.
+repeat: Arrow finds the distinct words of some texts, each worker process remembers the ids of the words it has met,
+and encodes new ones many at a time, parted by a separator that keeps a token of its own. Texts with unusual white
+space are encoded whole.
 """
 
 from __future__ import annotations
@@ -14,15 +15,17 @@ import types
 from collections.abc import Iterator, Sequence
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: White space and separators where libraries may differ on what is a space (fixed values).
 UNSURE = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0 ᠎           ​    ⁠　﻿"
 #: Words remembered per process; beyond it those met once are forgotten, and of the others all but the most used half.
-REMEMBERED = 200_000
+REMEMBERED = 400_000
 #: Characters of a word above which a text is encoded whole.
 LONG_WORD = 200
-#: Characters of text looked up together.
-TOGETHER = 1 << 19
+#: Characters of text looked up together, and new words that make one text for the library.
+TOGETHER, JOINED = 1 << 21, 200
 
 
 class _Slots(dict):
@@ -47,8 +50,12 @@ class Encoder:
 
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True  # special tokens' strings in a text are ordinary text
+        self.largest_id = max(self.library.get_vocab().values(), default=0)
         # Whether a space belongs to the word behind it, or spaces leave no trace at all.
         self.spaced = len(self.whole(" a")) != len(self.whole("a")) or bool((self.whole(" a") != self.whole("a")).any())
+        # Whether a line's first word has the ids that it has at the start of a text, behind those of the line's end.
+        starts = ("a", "A", "1", ".", "'s", "\u00e9", "\u4e2d")
+        self.line_starts = all(np.array_equal(self.whole(f"\n{x}"), np.append(self.whole("\n"), self.whole(x))) for x in starts)
         self.separator = "\n" if self.spaced else " | "
         ids = self.whole(self.separator)
         self.separator_id = int(ids[0]) if len(ids) == 1 else -1
@@ -75,47 +82,48 @@ class Encoder:
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32)
 
-    def _coded(self, words: Sequence[str]) -> list[np.ndarray]:
-        """Ids of each word: encoded together where the separator parts them, else one by one."""
+    def _coded(self, words: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of ids of each word, and all ids: encoded together where the separator parts them, else one by one."""
         texts = [w[1:] if w[0] == "\x00" else w if w[0] == "\n" else f" {w}" if self.spaced else w for w in words]
         mark = self.separator.strip(" ")
         joined = [t for t in texts if mark not in t] if self.separator_id >= 0 else []
-        ids = self.whole("".join(t + self.separator for t in joined)) if joined else np.zeros(0, np.uint32)
+        lots = [self.separator.join([*joined[k : k + JOINED], ""]) for k in range(0, len(joined), JOINED)]
+        found = self.library.encode_batch_fast(lots, add_special_tokens=False) if lots else []
+        ids = np.concatenate([np.array(f.ids, np.uint32) for f in found]) if found else np.zeros(0, np.uint32)
         ends = np.flatnonzero(ids == self.separator_id)
+        if len(ends) == len(joined) == len(texts):
+            return np.diff(ends, prepend=-1) - 1, np.delete(ids, ends)
         if len(ends) != len(joined):
             joined, ends = [], ends[:0]
         known = dict(zip(joined, (ids[a:b] for a, b in zip([0, *(ends + 1)], ends, strict=False)), strict=True))
-        return [known[t] if t in known else self.whole(t) for t in texts]
+        coded = [known[t] if t in known else self.whole(t) for t in texts]
+        return np.fromiter(map(len, coded), np.int64, len(coded)), np.concatenate(coded)
 
     def _learn(self) -> None:
         words, self.slots.new = self.slots.new, []
-        coded = [c for k in range(0, len(words), 2000) for c in self._coded(words[k : k + 2000])]
-        n, first = len(coded), len(self.slots) - len(coded)
+        n, first = len(words), len(self.slots) - len(words)
         if not n:
             return
-        flat = np.concatenate(coded)
+        counts, flat = (np.concatenate(x) for x in zip(*(self._coded(words[k : k + 2000]) for k in range(0, n, 2000)), strict=True))
         while first + n > len(self.starts):
             self.starts, self.counts, self.uses = (np.concatenate([a, np.zeros_like(a)]) for a in (self.starts, self.counts, self.uses))
         while self.used + len(flat) > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        counts = np.fromiter(map(len, coded), np.int64, n)
         self.counts[first : first + n] = counts
         self.starts[first : first + n] = self.used + np.cumsum(counts) - counts
         self.ids[self.used : self.used + len(flat)] = flat
         self.used += len(flat)
 
-    def _words(self, text: str) -> list[str] | None:
-        """Keys of a text's words (the first marked, as no space precedes it), or None: encode it whole."""
+    def _keys(self, text: str) -> str | None:
+        """Keys of a text's words, parted by spaces (a word that no space precedes is marked), or None: encode it whole."""
         if any(c in text for c in UNSURE) or "\x00" in text:
             return None
         if not self.spaced:
-            words = text.split()
-        else:
-            if text[0] in " \n" or text[-1] in " \n" or "  " in text or "\n\n" in text or " \n" in text or "\n " in text:
-                return None
-            words = text.replace("\n", " \n").split(" ")
-            words[0] = "\x00" + words[0]
-        return None if words and max(map(len, words)) > LONG_WORD else words
+            keys = text.replace("\n", " ")
+            return " ".join(keys.split()) if keys[:1] == " " or keys[-1:] == " " or "  " in keys else keys
+        if text[:1] in (" ", "\n") or text[-1:] in (" ", "\n") or "  " in text or "\n\n" in text or " \n" in text or "\n " in text:
+            return None
+        return "\x00" + text.replace("\n", " \n \x00" if self.line_starts else " \n") if text else text
 
     def encode_many(self, texts: Sequence[str]) -> Iterator[np.ndarray]:
         """The ids of whole texts, some texts at a time."""
@@ -131,22 +139,35 @@ class Encoder:
     def _encode_some(self, texts: Sequence[str]) -> list[np.ndarray]:
         if len(self.slots) > REMEMBERED:
             self._forget()
-        look, at = self.slots.__getitem__, []
-        for text in texts:
-            words = self._words(text) if text else []
-            at.append(None if words is None else np.fromiter(map(look, words), np.int64, len(words)))
+        keys = [self._keys(text) for text in texts]
+        lengths = np.zeros(len(texts), np.int64)  # in words
+        slots = np.zeros(0, np.int64)
+        if at := [k for k, words in enumerate(keys) if words]:
+            words = pc.split_pattern(pa.array([keys[k] for k in at], pa.large_string()), " ")
+            lengths[at] = pc.list_value_length(words).to_numpy()
+            words = words.flatten().dictionary_encode()
+            places = words.indices.to_numpy()
+            long = pc.greater(pc.utf8_length(words.dictionary), LONG_WORD).to_numpy(zero_copy_only=False)
+            if long.any():  # texts with such a word are encoded whole
+                whole = np.repeat(np.arange(len(texts)), lengths)[long[places]]
+                places = places[~np.isin(np.repeat(np.arange(len(texts)), lengths), whole)]
+                lengths[whole] = 0
+                for k in np.unique(whole).tolist():
+                    keys[k] = None
+            met = np.unique(places) if long.any() else slice(None)
+            names = words.dictionary.to_numpy(zero_copy_only=False)[met]
+            slot_of = np.zeros(len(words.dictionary), np.int64)
+            slot_of[met] = np.fromiter(map(self.slots.__getitem__, names), np.int64, len(names))
+            slots = slot_of[places]
         self._learn()
-        known = [a for a in at if a is not None]
-        slots = np.concatenate(known) if known else np.zeros(0, np.int64)
         used = np.bincount(slots, minlength=1)
         self.uses[: len(used)] += used
         counts = self.counts[slots]
         ends = np.cumsum(counts)
         total = int(ends[-1]) if len(ends) else 0
         ids = self.ids[np.arange(total) + np.repeat(self.starts[slots] - (ends - counts), counts)]
-        bounds = np.concatenate([[0], ends])[np.cumsum([0, *map(len, known)])]
-        cut = iter([ids[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)])
-        return [self.whole(t) if a is None else next(cut) for t, a in zip(texts, at, strict=True)]
+        bounds = np.append(0, ends)[np.append(0, np.cumsum(lengths))]
+        return [self.whole(t) if k is None else ids[a:b] for t, k, a, b in zip(texts, keys, bounds[:-1], bounds[1:], strict=True)]
 
 
 def encoder(path: str) -> Encoder:
@@ -157,6 +178,13 @@ def encoder(path: str) -> Encoder:
     return held.__dict__[path]
 
 
+def forget_encoders() -> None:
+    """Free what this worker process's encoders remember: later steps of a job may need the memory."""
+    held = sys.modules.get("_webloom_encoders")
+    for path in [k for k, x in vars(held).items() if isinstance(x, Encoder)] if held else []:
+        held.__dict__.pop(path, None)
+
+
 def tokenizer_path(name: str) -> str:
     """Place of a public tokenizer's file."""
     import public_tokenizers
