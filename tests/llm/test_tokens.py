@@ -7,7 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from webloom.llm.packing import SumOfSquares, pack, pack_partition
-from webloom.llm.token_files import decode_ranks, encode_ranks, read_token_files, write_token_files
+from webloom.llm.token_files import decode_ranks, encode_ranks, read_token_files, tokens, write_token_files
 from webloom.llm.token_pieces import Encoder, tokenizer_path
 
 WORD, BYTE = "word_bpe_49k.json", "byte_bpe_50k.json"
@@ -143,3 +143,35 @@ def test_forgetting_rare_words_changes_no_ids(monkeypatch):
             for at, text in enumerate(texts):
                 got = list(own.encode_many([text, texts[0]]))
                 assert got[0].tolist() == own.whole(text).tolist() and got[1].tolist() == own.whole(texts[0]).tolist(), (most, at)
+
+
+@pytest.mark.parametrize("name", [WORD, BYTE])
+def test_new_words_are_encoded_many_at_a_time(name):
+    """First words of lines and all others go to the library together, not one call each."""
+    own, calls = Encoder(tokenizer_path(name)), []
+    whole = own.whole
+    texts = ["\n".join(f"w{k}x{i}q {i}z" for i in range(50)) for k in range(40)]
+    expected = [whole(t) for t in texts]
+    own.whole = lambda text: calls.append(text) or whole(text)
+    for ids, want in zip(own.encode_many(texts), expected, strict=True):
+        assert np.array_equal(ids, want)
+    assert len(calls) < 5
+
+
+def test_a_text_with_a_very_long_word_is_encoded_whole_and_the_others_by_word():
+    for name in (WORD, BYTE):
+        own = Encoder(tokenizer_path(name))
+        texts = ["ab cd", "x" * 201 + " ab only", "", "ab ef\ngh", "ab " + "y" * 500, " " * 3]
+        for text, ids in zip(texts, own.encode_many(texts), strict=True):
+            assert np.array_equal(ids, own.whole(text)), text[:20]
+        assert not any("only" in word or len(word) > 201 for word in own.slots)
+
+
+def test_ids_on_their_way_to_files_are_as_narrow_as_the_vocabulary(spark, tmp_path):
+    docs = spark.createDataFrame([(i, f"some words {i}" * 5) for i in range(50)], "doc_id long, text string")
+    assert {(r.width, len(r.ids) % 2) for r in tokens(docs, tokenizer_path(WORD), 1).collect()} == {(2, 0)}
+    assert {(r.width, len(r.ids) % 4) for r in tokens(docs, tokenizer_path(WORD), 70_000).collect()} == {(4, 0)}
+    write_token_files(docs, str(tmp_path / "wide"), tokenizer_path(WORD), 70_000)
+    own = Encoder(tokenizer_path(WORD))
+    got = {r.doc_id: np.frombuffer(r.ids, "<u4") for r in read_token_files(spark, str(tmp_path / "wide")).collect()}
+    assert all(np.array_equal(got[i], np.append(own.whole(f"some words {i}" * 5), 70_000)) for i in range(50))

@@ -20,12 +20,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from webloom.llm.common import materialize, partition_offsets, release_memory
-from webloom.llm.token_pieces import encoder
+from webloom.llm.common import discard, materialize, partition_offsets, release_memory
+from webloom.llm.token_pieces import encoder, forget_encoders
 from webloom.session import target_partitions
 
 #: Ids after which a block is closed (a longer document has a block of its own).
 BLOCK_IDS = 1 << 16
+#: Bytes of ids in a part of the files: a task sorts that much, and a part's blocks may reach a task all at once.
+PART_BYTES = 32 << 20
 #: Lengths of the four values of each control byte.
 LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3).astype(np.uint8) + 1
 
@@ -50,33 +52,36 @@ def decode_ranks(control: bytes, data: bytes, n: int) -> np.ndarray:
 
 
 def tokens(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, ids)``: the ids of each whole text and the end id, unsigned 32-bit little-endian bytes."""
+    """``(doc_id, width, ids)``: the ids of each whole text and the end id, unsigned little-endian, ``width`` bytes
+    each: 2 or 4, the same for all documents, as the vocabulary needs."""
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own = encoder(tokenizer)
         end = np.array([end_id], np.uint32)
+        width = 2 if max(own.largest_id, end_id) < 1 << 16 else 4
         for pdf in batches:
             coded = own.encode_many(pdf["text"].tolist())
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "ids": [np.append(c, end).astype("<u4").tobytes() for c in coded]})
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "width": width, "ids": [np.append(c, end).astype(f"<u{width}").tobytes() for c in coded]})
         release_memory()
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    return rows.mapInPandas(encode, "doc_id long, ids binary")
+    return rows.mapInPandas(encode, "doc_id long, width int, ids binary")
 
 
 def ids_by_rank(coded: DataFrame) -> DataFrame:
     """``(rank, id, n)``: every id that occurs, by falling count over all documents, ties by id."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        forget_encoders()
         total = np.zeros(0, np.int64)
         for pdf in batches:
-            got = np.bincount(np.frombuffer(b"".join(pdf["ids"]), "<u4"))
+            got = np.bincount(np.frombuffer(b"".join(pdf["ids"]), f"<u{pdf['width'].iloc[0]}"))
             size = max(len(got), len(total))
             total = np.pad(total, (0, size - len(total))) + np.pad(got, (0, size - len(got)))
         found = np.flatnonzero(total)
         yield pd.DataFrame({"id": found, "n": total[found]})
 
-    counted = coded.select("ids").mapInPandas(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    counted = coded.select("width", "ids").mapInPandas(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
     # At most one row per entry of the tokenizer's vocabulary.
     rows = sorted(((r["n"], r["id"]) for r in counted.collect()), key=lambda x: (-x[0], x[1]))
     return coded.sparkSession.createDataFrame([(k, i, n) for k, (n, i) in enumerate(rows)], "rank long, id long, n long")
@@ -102,18 +107,19 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int, i
         part, before = TaskContext.get().partitionId(), 0
         docs_held: list = []
         held: list[bytes] = []
-        size = 0
+        size, width = 0, 4
 
         def block() -> pd.DataFrame:
-            control, data = encode_ranks(rank_of[np.frombuffer(b"".join(held), "<u4")])
-            return pd.DataFrame([(part, before, size, docs_held, [len(h) // 4 for h in held], control, data)],
+            control, data = encode_ranks(rank_of[np.frombuffer(b"".join(held), f"<u{width}")])
+            return pd.DataFrame([(part, before, size, docs_held, [len(h) // width for h in held], control, data)],
                                 columns=["part", "before", "n_ids", "doc_ids", "counts", "control", "data"])
 
         for pdf in batches:
+            width = int(pdf["width"].iloc[0])
             for doc_id, ids in zip(pdf["doc_id"].tolist(), pdf["ids"], strict=True):
                 docs_held.append(None if doc_id != doc_id or doc_id is None else int(doc_id))
                 held.append(ids)
-                size += len(ids) // 4
+                size += len(ids) // width
                 if size >= block_ids:
                     yield block()
                     before, docs_held, held, size = before + size, [], [], 0
@@ -121,8 +127,9 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int, i
             yield block()
         release_memory()
 
-    ordered = coded.repartitionByRange(target_partitions(coded), "doc_id").sortWithinPartitions("doc_id", "ids")
+    ordered = coded.repartitionByRange(target_partitions(coded, PART_BYTES), "doc_id").sortWithinPartitions("doc_id", "ids")
     ordered.mapInPandas(pack, BLOCKS).write.mode("overwrite").parquet(f"{path}/blocks")
+    discard(coded)
 
 
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
