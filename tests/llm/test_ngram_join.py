@@ -101,3 +101,25 @@ def test_components_of_paths_stars_and_nothing(spark):
     got = dict(map(tuple, connected_components(spark.createDataFrame(links, "a long, b long")).collect()))
     assert got == {k: 100 for k in range(100, 161)} | {k: 7 for k in [7, *range(10, 41)]} | {5: 5}
     assert connected_components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+@pytest.mark.parametrize("n", [2, 5, 12, 13])
+def test_chunks_of_a_family_meet_in_rounds_that_move_a_set_twice(spark, monkeypatch, n):
+    """Every two chunks meet, in as many rounds as each of them needs for two others at a time."""
+    from pyspark.sql import functions as F
+
+    from webloom.llm import ngram_join
+
+    rng, far = np.random.default_rng(n), n // 2
+    sets = [np.unique(rng.integers(1, 1 << 62, 40).astype(np.uint64)) for _ in range(far)]
+    sets = [np.unique(np.append(sets[k % far], np.uint64(k + 1))) for k in range(n)]  # k and k + n // 2 are linked
+    held = spark.createDataFrame([(k, int(s.view(np.int64)[0]), bytearray(s.tobytes())) for k, s in enumerate(sets)], "node long, least long, tokens binary")
+    rows = spark.createDataFrame([(7, k, 0, n - 1, k, k) for k in range(n)], "family long, part int, low int, high int, node long, label long")
+    rounds, write = [], ngram_join.materialize
+    monkeypatch.setattr(ngram_join, "materialize", lambda df: rounds.append(df.columns) or write(df))
+    total = sum(8 * len(s) for s in sets)
+    links = ngram_join._across(rows, held, 90, -(-total // n)).select(F.least("a", "b"), F.greatest("a", "b")).distinct().collect()
+    assert rounds.count(["a", "b"]) == max(1, n // 2)
+    assert {k % far for pair in links for k in pair} == set(range(far)) and all(a % far == b % far for a, b in links)
+    labels = {r.node: r.label for r in connected_components(spark.createDataFrame([tuple(x) for x in links], "a long, b long")).collect()}
+    assert labels == {k: k % far for k in range(n)}

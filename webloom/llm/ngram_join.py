@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -215,8 +216,10 @@ def _across(rows: DataFrame, sets: DataFrame, percent: int, partition_bytes: int
 
     ``rows``: ``family, part, low, high, node, label``, whose tokens are read from ``sets``. A family's partitions
     are dealt into as many consecutive chunks as its sets fill partitions; each chunk is compared with itself and
-    the others. Pairs of chunks are dealt out by family and both chunks, so that a large family's pairs are spread
-    over tasks and no group holds more than two chunks.
+    the others, in rounds: with those as many places before and behind it, in a circle, as the round's number. A
+    round moves every set twice at most and its shuffle files go before the next one, so disk does not grow with
+    the number of chunks. Pairs of chunks are dealt out by family and both chunks, so that a large family's pairs
+    are spread over tasks and no group holds more than two chunks.
     """
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -233,12 +236,20 @@ def _across(rows: DataFrame, sets: DataFrame, percent: int, partition_bytes: int
     size = told.groupBy("family").agg(F.ceil(F.sum(F.octet_length("tokens")) / partition_bytes).alias("chunks"))
     chunk = F.floor((F.col("part") - F.col("low")) * F.col("chunks") / (F.col("high") - F.col("low") + 1))
     # The pairs of chunks are settled on rows without tokens; tokens join them on their way to the tasks.
-    paired = rows.join(materialize(size), "family").withColumn("chunk", chunk).withColumn(
-        "other", F.explode(F.when(F.col("chunks") == 1, F.array(F.lit(0).cast("long"))).otherwise(
-            F.filter(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1), lambda x: x != F.col("chunk")))))
-    paired = paired.select("family", F.least("chunk", "other").alias("p"), F.greatest("chunk", "other").alias("q"), "part", "node", "label")
-    dealt = paired.join(sets.select("node", "least", "tokens"), "node").repartition("family", "p", "q")
-    return materialize(dealt.groupBy("family", "p", "q").applyInPandas(compare, "a long, b long"))
+    chunked = materialize(rows.join(materialize(size), "family").withColumn("chunk", chunk).select(
+        "family", "chunks", "chunk", "part", "node", "label"))
+    most = chunked.agg(F.max("chunks")).first()[0] or 1
+
+    def round_of(places: int) -> DataFrame:
+        both = F.array_distinct(F.array(*[F.pmod(F.col("chunk") + F.lit(k), F.col("chunks")) for k in (places, -places)]))
+        paired = chunked.where((F.col("chunks") >= 2 * places) | F.lit(places == 1)).withColumn("other", F.explode(both))
+        paired = paired.select("family", F.least("chunk", "other").alias("p"), F.greatest("chunk", "other").alias("q"), "part", "node", "label")
+        dealt = paired.join(sets.select("node", "least", "tokens"), "node").repartition("family", "p", "q")
+        return materialize(dealt.groupBy("family", "p", "q").applyInPandas(compare, "a long, b long"))
+
+    links = reduce(DataFrame.unionByName, [round_of(places) for places in range(1, max(1, most // 2) + 1)])
+    discard(chunked)
+    return links
 
 
 def _renamed(links: DataFrame) -> DataFrame:
