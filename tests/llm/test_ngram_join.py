@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from webloom.llm.components import connected_components
-from webloom.llm.ngram_join import Bands, link_by_groups, ngram_components, signatures, token_set
+from webloom.llm.ngram_join import Bands, link_by_groups, ngram_components, parity_sketch, signatures, token_set
 
 LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
 
@@ -123,3 +123,58 @@ def test_chunks_of_a_family_meet_in_rounds_that_move_a_set_twice(spark, monkeypa
     assert {k % far for pair in links for k in pair} == set(range(far)) and all(a % far == b % far for a, b in links)
     labels = {r.node: r.label for r in connected_components(spark.createDataFrame([tuple(x) for x in links], "a long, b long")).collect()}
     assert labels == {k: k % far for k in range(n)}
+
+
+def signed_rows(spark, sets, percent):
+    """Sets as the table that families are found in."""
+    bands = Bands(percent)
+    found = [(k, len(s), parity_sketch(s, percent).tolist(), signatures(s, bands).view(np.int64).tolist()) for k, s in enumerate(sets)]
+    return spark.createDataFrame(found, "node long, n long, parity array<long>, signatures array<long>")
+
+
+def test_sketches_never_part_linked_sets_and_part_most_others():
+    rng = np.random.default_rng(5)
+    for percent in (75, 80, 90, 100):
+        for size in (1, 5, 40, 300, 3000, 60_000):
+            common = rng.integers(0, 1 << 63, size).astype(np.uint64)
+            for a_more, b_more in ((0, 0), (size // 9, 0), (size // 20, size // 20), (size // 4, 0)):
+                a, b = (np.unique(np.append(common, rng.integers(0, 1 << 63, k).astype(np.uint64))) for k in (a_more, b_more))
+                x, y = parity_sketch(a, percent), parity_sketch(b, percent)
+                if len(x) > len(y):
+                    x = np.bitwise_xor(x[: len(x) // 2], x[len(x) // 2 :])
+                assert len(x) == len(y)
+                assert np.bitwise_count((x ^ y).view(np.uint64)).sum() <= len(np.setxor1d(a, b))
+
+
+def test_chance_meetings_under_a_signature_make_no_family(spark):
+    """Texts that share one passage agree on some part, yet only copies may be linked."""
+    from webloom.llm.ngram_join import _families
+
+    rng = np.random.default_rng(9)
+    common = rng.integers(0, 1 << 63, 150).astype(np.uint64)
+    sets = [np.unique(np.append(common, rng.integers(0, 1 << 63, 300).astype(np.uint64))) for _ in range(60)]
+    sets += [np.unique(np.append(s[:-5], rng.integers(0, 1 << 63, 5).astype(np.uint64))) for s in sets[:20]]
+    signed = signed_rows(spark, sets, 80)
+    held = [set(r.signatures) for r in signed.collect()]
+    assert sum(bool(held[0] & h) for h in held[1:60]) > 10  # they do meet
+    found = {}
+    for r in _families(signed, 80).collect():
+        found.setdefault(r.family, set()).add(r.node)
+    assert sorted(map(sorted, found.values())) == [[k, k + 60] for k in range(20)]
+
+
+@pytest.mark.parametrize("cell", [4096, 3])
+def test_near_copies_of_a_part_that_differ_from_its_least_document_meet(spark, monkeypatch, cell):
+    """Documents far from the least one of their part, but near each other, are linked, by few links however many they
+    are; repeated rows do no harm."""
+    from webloom.llm import ngram_join
+
+    rng = np.random.default_rng(4)
+    sets = [np.unique(rng.integers(0, 1 << 62, 300).astype(np.uint64)) for _ in range(3)]
+    sets += [np.append(s[1:], s[-1:] + np.uint64(k)) for k in range(1, 8) for s in sets[1:]]
+    rows = [(k, len(s), parity_sketch(s, 80).tolist(), [77]) for k, s in enumerate(sets)]
+    signed = spark.createDataFrame([*rows, rows[4]], "node long, n long, parity array<long>, signatures array<long>")
+    monkeypatch.setattr(ngram_join, "CELL", cell)
+    assert sorted(map(tuple, ngram_join._families(signed, 80).collect())) == [(k, 2 - k % 2) for k in range(1, len(sets))]
+    found = ngram_join.link_by_sketches([np.array(r[2]) for r in rows], np.array([r[1] for r in rows]), np.arange(len(rows)), 80)
+    assert len(found) == len(sets) - 3

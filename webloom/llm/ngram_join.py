@@ -6,8 +6,12 @@ whose bound reaches the threshold are opened and compared document by document.
 
 Which documents need one matrix is settled first, exactly and without comparing pairs. The tokens of a document
 of a size band are dealt into D + 1 or more parts, D being the most tokens in which two linked documents of that
-band can differ; so linked documents agree on a whole part. Documents that agree on a part get into one family
-(connected components over links to the least document of each part, never all pairs). Families are laid
+band can differ; so linked documents agree on a whole part. Two documents that agree on a part may still be far
+apart, and in a large corpus such chance meetings would chain most documents together. So each has a parity sketch:
+the bits in which two sketches differ never outnumber the tokens in which their sets differ, and a pair with more
+such bits than a link allows is surely not linked. Documents that agree on a part and may be linked by their sketches
+get into one family (connected components): all are compared with the least document of their part, and only those
+that are in different components after that with one another. Families are laid
 out in order over range partitions of bounded size; each partition builds its own matrices. A family that
 runs over several partitions is finished by comparing partition with partition: first one document for each
 component found so far, then, if components are left apart, all documents of the partitions concerned.
@@ -19,14 +23,14 @@ again. Sets are of 64-bit hashes, classes of equal sets of 128-bit sums.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
 import numpy as np
 import pandas as pd
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from webloom.llm.common import discard, materialize, release_memory
@@ -39,6 +43,10 @@ GROUP = 32
 #: Bytes of token sets in a partition of families.
 PARTITION_BYTES = 16 << 20
 BAND_RATIO = 1.5
+#: Words of 64 bits of the longest parity sketch.
+SKETCH_WORDS = 1 << 11
+#: Documents of one signature that are compared in one group, with themselves or as many others.
+CELL = 1 << 12
 
 _U = np.uint64
 #: Odd 64-bit constants of well-known mixing functions.
@@ -122,6 +130,107 @@ def signatures(tokens: np.ndarray, bands: Bands) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
+def parity_sketch(tokens: np.ndarray, percent: int) -> np.ndarray:
+    """Words of 64 bits: bit i is set when an odd number of tokens has the remainder i. A power of two of bits, at
+    least four for each token in which a set of that size may differ from a linked one, up to ``SKETCH_WORDS``."""
+    differing = (100 - percent) * 2 * len(tokens) // (100 + percent)
+    words = 1
+    while words < SKETCH_WORDS and 64 * words < 4 * differing:
+        words *= 2
+    odd = np.bincount((tokens & _U(64 * words - 1)).astype(np.int64), minlength=64 * words).astype(np.uint8) & np.uint8(1)
+    return np.packbits(odd).view(np.int64)
+
+
+def link_by_sketches(sketches: Sequence[np.ndarray], sizes: np.ndarray, labels: np.ndarray, percent: int) -> list[np.ndarray]:
+    """Places ``[i, m]`` of sets that may be linked, as many as it takes to join all such sets of different labels."""
+    width = min(map(len, sketches))
+    flat = np.stack([np.bitwise_xor.reduce(x.reshape(-1, width), axis=0) for x in sketches]).view(np.uint64)
+    labels, sizes = np.array(labels, np.int64), np.asarray(sizes, np.int64)
+    out = []
+    for i in range(len(labels) - 1):
+        m = i + 1 + np.flatnonzero(labels[i + 1 :] != labels[i])
+        m = m[(np.minimum(sizes[m], sizes[i]) * 100 >= np.maximum(sizes[m], sizes[i]) * percent)]
+        bits = np.bitwise_count(flat[m] ^ flat[i]).sum(axis=1, dtype=np.int64)
+        for k in m[bits * (100 + percent) <= (sizes[m] + sizes[i]) * (100 - percent)]:
+            if labels[k] != labels[i]:
+                labels[labels == labels[k]] = labels[i]
+                out.append(np.array([i, k]))
+    return out
+
+
+def _may_be_linked(a: str, b: str, percent: int) -> Column:
+    """Whether the sizes ``n_x`` and sketches ``parity_x`` of two sets leave room for a link. Of sketches of different
+    lengths (sets that may be linked differ by the factor two at most) the halves of the longer are laid together."""
+    def fold(x: Column) -> Column:
+        half = (F.size(x) / 2).cast("int")
+        return F.zip_with(F.slice(x, F.lit(1), half), F.slice(x, half + 1, half), lambda u, v: u.bitwiseXOR(v))
+
+    def differing(x: Column, y: Column) -> Column:
+        return F.aggregate(F.zip_with(x, y, lambda u, v: F.bit_count(u.bitwiseXOR(v))), F.lit(0), lambda s, k: s + k)
+
+    x, y = F.col(f"parity_{a}"), F.col(f"parity_{b}")
+    bits = F.when(F.size(x) == F.size(y), differing(x, y)).when(F.size(x) > F.size(y), differing(fold(x), y)).otherwise(differing(x, fold(y)))
+    n_a, n_b = F.col(f"n_{a}"), F.col(f"n_{b}")
+    sized = F.least(n_a, n_b) * 100 >= F.greatest(n_a, n_b) * percent
+    return F.when(sized, bits * (100 + percent) <= (n_a + n_b) * (100 - percent)).otherwise(F.lit(False))
+
+
+def _families(signed: DataFrame, percent: int) -> DataFrame:
+    """``(node, family)`` of the nodes that may be linked with another: linked ones are in one family. ``signed`` has
+    ``node, n, parity, signatures``."""
+    cells = signed.select("node", F.explode("signatures").alias("sig"))
+    # Signatures that several documents have are found first; they are few, and the rest need not be kept for the join.
+    leaders = materialize(cells.groupBy("sig").agg(F.min("node").alias("leader"), F.max("node").alias("last"))
+                          .where("leader < last").select("sig", "leader"))
+    members = materialize(cells.join(leaders, "sig"))
+    discard(leaders)
+    sketches = materialize(signed.select("node", "n", "parity").dropDuplicates(["node"]))  # rows may repeat
+    sides = {x: sketches.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("parity").alias(f"parity_{x}")) for x in "ab"}
+    met = members.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
+    links = materialize(met.join(sides["a"], "a").join(sides["b"], "b").where(_may_be_linked("a", "b", percent)).select("a", "b"))
+    # What is still apart under one signature, after comparing all with its least document.
+    first = connected_components(links)
+    labelled = materialize(members.join(first, "node", "left").select("sig", "node", F.coalesce("label", "node").alias("label")))
+    discard(members)
+    apart = labelled.groupBy("sig").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("sig")
+    rest = materialize(labelled.join(apart, "sig").distinct())
+    discard(labelled)
+    # A signature's documents are dealt into chunks; each two of them are a group, which joins what it can by few links.
+    chunks = rest.groupBy("sig").agg(F.ceil(F.count(F.lit(1)) / F.lit(CELL)).alias("chunks"))
+    dealt = rest.join(chunks, "sig").withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")))
+    others = F.when(F.col("chunks") == 1, F.array("chunk")).otherwise(
+        F.array_remove(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1), F.col("chunk")))
+    dealt = dealt.withColumn("other", F.explode(others)).select(
+        "sig", F.least("chunk", "other").alias("p"), F.greatest("chunk", "other").alias("q"), "node", "label")
+    # Sketches join the slim rows on their way to the tasks.
+    placed = dealt.join(sketches, "node").repartition("sig", "p", "q").sortWithinPartitions("sig", "p", "q", "node")
+
+    def join(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def done(pdf: pd.DataFrame, ends: np.ndarray) -> pd.DataFrame:
+            nodes, labels, sizes, parity = (pdf[c].to_numpy() for c in ("node", "label", "n", "parity"))
+            found = [nodes[a + at] for a, b in zip([0, *ends], ends, strict=False) for at in link_by_sketches(parity[a:b], sizes[a:b], labels[a:b], percent)]
+            return pd.DataFrame(np.array(found, np.int64).reshape(-1, 2), columns=["a", "b"])
+
+        held = None
+        for pdf in batches:
+            pdf = pdf if held is None else pd.concat([held, pdf])
+            keys = pdf[["sig", "p", "q"]].to_numpy()
+            ends = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
+            yield done(pdf, ends)
+            held = pdf[ends[-1] :] if len(ends) else pdf
+        if held is not None:
+            yield done(held, np.array([len(held)]))
+        release_memory()
+
+    more = materialize(placed.mapInPandas(join, "a long, b long").distinct())
+    discard(rest, sketches)
+    if not more.isEmpty():
+        discard(first)
+        first = connected_components(links.unionByName(more))
+    discard(links, more)
+    return first.select("node", F.col("label").alias("family"))
+
+
 def link_by_groups(sets: list[np.ndarray], labels: np.ndarray, percent: int, side: np.ndarray | None = None,
                    group: int = GROUP) -> np.ndarray:
     """Labels of documents after joining those that are linked; similar sets should stand near each other.
@@ -303,8 +412,8 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
             found = []
             for doc_id, text in zip(pdf["doc_id"], pdf["text"], strict=True):
                 tokens = token_set(text, words)
-                found.append((doc_id, len(tokens), *set_digest(tokens), signatures(tokens, bands).view(np.int64)))
-            yield pd.DataFrame(found, columns=["doc_id", "n", "d1", "d2", "signatures"])
+                found.append((doc_id, len(tokens), *set_digest(tokens), parity_sketch(tokens, percent), signatures(tokens, bands).view(np.int64)))
+            yield pd.DataFrame(found, columns=["doc_id", "n", "d1", "d2", "parity", "signatures"])
         release_memory()
 
     def with_tokens(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -317,23 +426,17 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
             yield pd.DataFrame(found, columns=["family", "node", "least", "tokens"])
         release_memory()
 
-    sketches = materialize(rows.mapInPandas(sketch, "doc_id long, n long, d1 long, d2 long, signatures array<long>"))
+    sketches = materialize(rows.mapInPandas(sketch, "doc_id long, n long, d1 long, d2 long, parity array<long>, signatures array<long>"))
     equal = ["n", "d1", "d2"]
     classes = materialize(sketches.where("n > 0").groupBy(*equal).agg(F.min("doc_id").alias("rep"))
                           .withColumn("node", F.monotonically_increasing_id()))
     signed = materialize(
         sketches.where(F.size("signatures") > 0).withColumnRenamed("doc_id", "rep").join(classes, [*equal, "rep"])
-        .select("node", "signatures"))
-    slim = materialize(sketches.drop("signatures"))
+        .select("node", "n", "parity", "signatures"))
+    slim = materialize(sketches.drop("parity", "signatures"))
     discard(sketches)
-    # Signatures that several documents have are found first; they are few, and the rest need not be kept for the join.
-    cells = signed.select("node", F.explode("signatures").alias("sig"))
-    leaders = materialize(cells.groupBy("sig").agg(F.min("node").alias("leader"), F.max("node").alias("last"))
-                          .where("leader < last").select("sig", "leader"))
-    links = materialize(cells.join(leaders, "sig").where("node <> leader").select("node", "leader").distinct())
-    discard(signed, leaders)
-    families = connected_components(links).select("node", F.col("label").alias("family"))
-    discard(links)
+    families = _families(signed, percent)
+    discard(signed)
     wanted = families.join(classes, "node").withColumnRenamed("rep", "doc_id")
     sets = materialize(rows.join(wanted, "doc_id").mapInPandas(with_tokens, "family long, node long, least long, tokens binary"))
     labels = _verified(sets, percent, partition_bytes)
