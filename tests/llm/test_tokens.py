@@ -175,3 +175,18 @@ def test_ids_on_their_way_to_files_are_as_narrow_as_the_vocabulary(spark, tmp_pa
     own = Encoder(tokenizer_path(WORD))
     got = {r.doc_id: np.frombuffer(r.ids, "<u4") for r in read_token_files(spark, str(tmp_path / "wide")).collect()}
     assert all(np.array_equal(got[i], np.append(own.whole(f"some words {i}" * 5), 70_000)) for i in range(50))
+
+
+def test_words_that_differ_in_case_and_signs_behind_them_are_encoded_once():
+    """Lower-casing and cutting before signs changes no ids, whatever stands around them."""
+    own = Encoder(tokenizer_path(WORD))
+    assert own.apart and not Encoder(tokenizer_path(BYTE)).apart
+    words = ["tale", "Tale", "TALE,", "tale.", "tale!!", "(tale)", "don't", "DON'T,", "it's", "'s", "a,b,c", "x<\u0338y", "a<\u0338b", "e\u0301,", "E\u0301.",
+             "\u00c9t\u00e9,", "\u0130z.", "\u03a3\u0391\u03a3,", "\u03a3.a", "3,4", "n3.", "a_b", "a||b", "|", "tale|", "<|endoftext|>,", "\u4e2d\u6587,", "a\u0327,b"]
+    texts = [*words, " ".join(words), "".join(words), " ".join(reversed(words)), ",".join(words)]
+    for got, text in zip(own.encode_many(texts), texts, strict=True):
+        assert got.tolist() == own.whole(text).tolist(), text
+    seen = []
+    own._learn, learn = lambda: seen.extend(own.slots.new) or learn(), own._learn
+    list(own.encode_many(["novel Novel NOVEL, novel! (novel"]))
+    assert sorted(set(seen) - {",", "!"}) == ["(novel", "novel"]

@@ -40,15 +40,17 @@ def encode_ranks(ranks: np.ndarray) -> tuple[bytes, bytes]:
     fours = np.zeros(-(-len(ranks) // 4) * 4, np.uint8)
     fours[: len(ranks)] = extra
     control = (fours.reshape(-1, 4) << np.array([0, 2, 4, 6], np.uint8)).sum(axis=1).astype(np.uint8)
-    data = ranks.astype("<u4").view(np.uint8).reshape(-1, 4)[np.arange(4) <= extra[:, None]]
+    width = 2 if ranks.max(initial=0) < 1 << 16 else 4  # bytes looked at
+    data = ranks.astype(f"<u{width}").view(np.uint8).reshape(-1, width)[np.arange(width) <= extra[:, None]]
     return control.tobytes(), data.tobytes()
 
 
 def decode_ranks(control: bytes, data: bytes, n: int) -> np.ndarray:
     lengths = LENGTHS[np.frombuffer(control, np.uint8)].reshape(-1)[:n]
-    out = np.zeros((n, 4), np.uint8)
-    out[np.arange(4) < lengths[:, None]] = np.frombuffer(data, np.uint8)
-    return out.reshape(-1).view("<u4")
+    width = 2 if lengths.max(initial=0) <= 2 else 4
+    out = np.zeros((n, width), np.uint8)
+    out[np.arange(width) < lengths[:, None]] = np.frombuffer(data, np.uint8)
+    return out.reshape(-1).view(f"<u{width}").astype("<u4", copy=False)
 
 
 def tokens(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
