@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from webloom.llm.common import discard, materialize, release_memory
+from webloom.llm.common import discard, materialize, release_memory, sifted
 from webloom.llm.components import connected_components
 
 WORDS = 5
@@ -179,11 +179,12 @@ def _families(signed: DataFrame, percent: int) -> DataFrame:
     """``(node, family)`` of the nodes that may be linked with another: linked ones are in one family. ``signed`` has
     ``node, n, parity, signatures``."""
     cells = signed.select("node", F.explode("signatures").alias("sig"))
-    # Signatures that several documents have are found first; they are few, and the rest need not be kept for the join.
-    leaders = materialize(cells.groupBy("sig").agg(F.min("node").alias("leader"), F.max("node").alias("last"))
-                          .where("leader < last").select("sig", "leader"))
-    members = materialize(cells.join(leaders, "sig"))
-    discard(leaders)
+    # Signatures that several rows have are found first; they are few, and the rest need not move again for the join.
+    shared = materialize(cells.groupBy("sig").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("sig"))
+    met = materialize(sifted(cells, "sig", shared).join(shared, "sig"))
+    leaders = met.groupBy("sig").agg(F.min("node").alias("leader"), F.max("node").alias("last")).where("leader < last").select("sig", "leader")
+    members = materialize(met.join(leaders, "sig"))
+    discard(shared, met)
     sketches = materialize(signed.select("node", "n", "parity").dropDuplicates(["node"]))  # rows may repeat
     sides = {x: sketches.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("parity").alias(f"parity_{x}")) for x in "ab"}
     met = members.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
