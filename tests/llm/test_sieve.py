@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from webloom.llm import ngram_join
 from webloom.llm.common import sifted
+from webloom.llm.line_dedup import _within
 
 
 def test_sifted_rows_hold_all_wanted_and_few_others(spark):
@@ -32,3 +33,11 @@ def test_signatures_of_one_document_are_not_moved_for_the_join(spark, monkeypatc
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert got == [(1, 1), (2, 1), (3, 3), (4, 4)]
     assert "BroadcastHashJoin" in plans[0]
+
+
+def test_whole_lines_are_judged_as_by_pieces(spark):
+    base = " ".join(f"word{i}" for i in range(40))
+    rows = [(base, base.replace("word7 ", "")), (base, base[: len(base) // 2]), (base, base[::-1]), ("a b", "a c"), (base, base)]
+    df = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(rows)], "k int, a string, b string").withColumn("n", F.greatest(F.length("a"), F.length("b")))
+    got = df.select("k", _within("a", "b", "n", "n").alias("x"), _within("a", "b", "n", "n", pieced=False).alias("y")).orderBy("k").collect()
+    assert [r["x"] for r in got] == [r["y"] for r in got] == [True, False, False, False, True]
